@@ -18,16 +18,22 @@ def sanitize_name(name: Column) -> Column:
 
 
 def _six_digits(value: Column) -> Column:
-    """At most six significant digits, without trailing zeros; exponent form outside 1e-4..1e6."""
-    parts = F.split(F.format_string("%.5e", value), "e")
-    mantissa, exponent = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    """At most six significant digits, without trailing zeros; exponent form outside 1e-4..1e6.
+
+    Number patterns round the exact binary value; ``%e`` formats would round its
+    shortest decimal text.
+    """
+    shown = F.call_function("format_number", value, F.lit("0.00000E0"))
+    parts = F.split(shown, "E")
+    mantissa, power = F.get(parts, F.lit(0)), F.get(parts, F.lit(1)).cast("int")
 
     def strip(text: Column) -> Column:
         return F.regexp_replace(text, r"\.?0+$", "")
 
-    plain = strip(F.concat_ws("e", mantissa, exponent).cast("double").cast("decimal(20,10)").cast("string"))
-    power = exponent.cast("int")
-    return F.when((power >= -4) & (power < 6), plain).otherwise(F.concat_ws("e", strip(mantissa), exponent))
+    plain = strip(shown.cast("double").cast("decimal(20,10)").cast("string"))
+    sign = F.when(power < 0, "-").otherwise("+")
+    exponent = F.concat(F.lit("e"), sign, F.lpad(F.abs(power).cast("string"), 2, "0"))
+    return F.when((power >= -4) & (power < 6), plain).otherwise(F.concat(strip(mantissa), exponent))
 
 
 def category_label(value: Column, data_type: T.DataType) -> Column:

@@ -78,12 +78,13 @@ def repair_case_ids(df: DataFrame, spec: LogSpec, drop: bool = False) -> DataFra
     return _replace(df, {spec.case: F.coalesce(col(spec.case).cast("string"), F.lit(spec.missing_case))})
 
 
-def parse_timestamps(df: DataFrame, spec: LogSpec) -> DataFrame:
-    """Parse the timestamp column if it is text; drop events without a valid one."""
+def parse_timestamps(df: DataFrame, spec: LogSpec, drop: bool = True) -> DataFrame:
+    """Parse the timestamp column if it is text; with ``drop``, only events with a valid one."""
     ts = col(spec.timestamp)
     if isinstance(df.schema[spec.timestamp].dataType, T.StringType):
         ts = parse_timestamp(ts, spec.timestamp_formats)
-    return _replace(df, {spec.timestamp: ts}).where(col(spec.timestamp).isNotNull())
+    parsed = _replace(df, {spec.timestamp: ts})
+    return parsed.where(col(spec.timestamp).isNotNull()) if drop else parsed
 
 
 def sentinels_to_null(df: DataFrame, texts: Sequence[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from eventloom.operators.scan import Following, RowNumber, Splits, dense_index, ordered_scan
 from eventloom.spec import LogSpec, col
+from eventloom.staging import stage
 
 LAST_ACTION = "last_action"
 
@@ -88,13 +89,13 @@ def state_space(edges: DataFrame) -> DataFrame:
     states = edges.groupBy("state_key").agg(
         F.sum("n").alias("visits"), F.max("initial").alias("initial"), F.min("first_at").alias("first_at")
     )
-    return dense_index(states, ["first_at"], "state")
+    return dense_index(stage(states, "distinct-states"), ["first_at"], "state")
 
 
 def action_index(edges: DataFrame) -> DataFrame:
     """(action_index, action): ids in order of first appearance; the start action comes first."""
     actions = edges.groupBy(F.col(f"state_key.{LAST_ACTION}").alias("action")).agg(F.min("first_at").alias("first_at"))
-    return dense_index(actions, ["first_at"], "action_index").select("action_index", "action")
+    return dense_index(stage(actions, "distinct-actions"), ["first_at"], "action_index").select("action_index", "action")
 
 
 def number_edges(edges: DataFrame, states: DataFrame) -> DataFrame:

@@ -13,14 +13,14 @@ def finite_horizon_policy(
     rewards: DataFrame,
     horizon: int = 20,
     discount: float = 1.0,
-    cut_every: int = 4,
 ) -> DataFrame:
     """(step, state, action, value): the best action with ``step`` actions to go.
 
     ``rewards`` has the reward for reaching a state; reaching others gives 0,
     as does a state without actions. Equal values give the alphabetically first
-    action. Every ``cut_every`` steps the values are staged, which cuts the
-    lineage and tells the optimizer whether they are small enough to broadcast.
+    action. The values of every step are staged: the moves are then read once per
+    step, the lineage stays short, and the optimizer knows whether the values are
+    small enough to broadcast.
     """
     if horizon < 1:
         raise ValueError("horizon must be at least 1")
@@ -40,9 +40,8 @@ def finite_horizon_policy(
         worth = source.groupBy("state", "action").agg(F.sum(F.col("probability") * outcome).alias("q"))
         # rounded, so that equal values tie whatever the order of summation
         best = F.min_by(F.struct("action", "q"), F.struct(-F.round("q", 9), F.col("action"))).alias("best")
-        values = worth.groupBy("state").agg(best).select("state", "best.action", F.col("best.q").alias("value"))
-        if step % cut_every == 0 or step == horizon:
-            values = stage(values, f"values-{step}")
+        chosen = worth.groupBy("state").agg(best).select("state", "best.action", F.col("best.q").alias("value"))
+        values = stage(chosen, f"values-{step}")
         steps.append(values.select(F.lit(step).cast("long").alias("step"), "state", "action", "value"))
     policy = steps[0]
     for table in steps[1:]:

@@ -52,6 +52,8 @@ class LogSpec:
     rare_value: str = "other"
     group_rare_activity: bool = False
     with_open_cases: bool = False
+    #: keep only the configured columns (and the case duration) in the result
+    only_configured: bool = False
 
     # labelling and decision model
     label_activity: str | None = None
