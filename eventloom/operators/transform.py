@@ -228,8 +228,7 @@ def feature_vectors(
         levels = few_categories(codes, max_values)
         for i, name in enumerate(categorical):
             if name in levels:
-                value = F.coalesce(col(name).cast("string"), F.lit(""))
-                parts.append(F.transform(F.lit(levels[name]), lambda v, x=value: (v == x).cast("double")))
+                parts.append(_indicators(name, levels[name]))
             else:
                 df = label_encode(df, name, codes, f"__code_{i}")
                 parts.append(F.array(F.coalesce(F.col(f"__code_{i}").cast("double"), F.lit(-1.0))))
@@ -237,6 +236,12 @@ def feature_vectors(
     return df.select(*[col(n) for n in df.columns if not n.startswith("__code_")], vector)
 
 
+def _indicators(name: str, values: Sequence[str]) -> Column:
+    """0/1 per value, as an array; a null matches none."""
+    value = F.coalesce(col(name).cast("string"), F.lit(""))
+    return F.transform(F.lit(list(values)), lambda v: (v == value).cast("double"))
+
+
 def fit_clusters(vectors: DataFrame, k: int, seed: int = 0, weight: str | None = None) -> KMeansModel:
     """k-means over ``features``; ``weight`` counts how many rows a row stands for."""
     estimator = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")

@@ -60,16 +60,12 @@ def list_attributes(spark: SparkSession, path: str) -> DataFrame:
     traces = read_traces(spark, path)
     events = traces.select(F.explode("event").alias("e"))
 
+    def named(holder: str, kind: str) -> Column:
+        pairs = F.coalesce(F.col(f"{holder}{kind}"), F.array().cast(_PAIRS))
+        return F.transform(pairs, lambda a: F.struct(F.lit(kind).alias("type"), a["_key"].alias("key")))
+
     def keys(df: DataFrame, level: str, holder: str) -> DataFrame:
-        found = F.concat(
-            *[
-                F.transform(
-                    F.coalesce(F.col(f"{holder}{t}"), F.array().cast(_PAIRS)),
-                    lambda a, t=t: F.struct(F.lit(t).alias("type"), a["_key"].alias("key")),
-                )
-                for t in TYPES
-            ]
-        )
+        found = F.concat(*[named(holder, t) for t in TYPES])
         return df.select(F.lit(level).alias("level"), F.inline(found))
 
     both = keys(traces, "case", "").unionByName(keys(events, "event", "e."))
