@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,16 +35,16 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment")
-    ts = F.col("ts").cast("timestamp")
-    k = F.get_json_object("props", "$.k").cast("long")
+    ts, k = F.col("ts").cast("timestamp"), F.col("k")
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     rows = events.select(
         "user_id",
-        F.concat_ws("-", F.col("user_id").cast("string"), F.date_format(ts, "yyyy-MM-dd")).alias("case:concept:name"),
+        F.concat_ws("-", F.col("user_id").cast("string"), F.to_date("ts").cast("string")).alias("case:concept:name"),
         F.col("event_id").alias("seq"),
         F.col("event_type").alias("concept:name"),
         ts.alias("time:timestamp"),
         "value",
-        k.alias("k"),
+        "k",
         F.when(k % 5 != 0, F.concat(F.lit("r"), (k % 7).cast("string"))).alias("org:resource"),
     )
     joined = rows.join(customer, F.col("user_id") == F.col("c_custkey"), "left")
@@ -65,30 +67,35 @@ def position_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Model:
-    """Staged steps of a discovery over one of the logs."""
+    """A discovery over one of the logs, staged table by table."""
 
-    def __init__(self, log: DataFrame, attributes: list[str]):
-        self.log, self.attributes = log, attributes
+    def __init__(self, log: DataFrame, attributes: list[str], reused: tuple[str, ...] = ()):
+        """``reused`` columns of the log are kept in staged steps, to describe the states."""
         self.steps = mdp.mdp_steps(log, SPEC, attributes, find_splits(log, [SPEC.case], SPEC.order))
+        if reused:
+            position = (SPEC.case, *SPEC.order, "step", "last_action", "action", "state_key", "next_key")
+            self.steps = stage(self.steps.select(*position, *reused), "steps")
         self.edges = stage(mdp.count_edges(self.steps, SPEC), "edges")
 
-    @property
+    @cached_property
     def states(self) -> DataFrame:
-        if not hasattr(self, "_states"):
-            self._states = stage(mdp.state_space(self.edges), "states")
-        return self._states
+        return stage(mdp.state_space(self.edges), "states")
 
-    @property
+    @cached_property
     def numbered(self) -> DataFrame:
         return mdp.number_edges(self.edges, self.states)
 
-    @property
+    @cached_property
     def actions(self) -> DataFrame:
         return mdp.action_index(self.edges)
 
-    @property
+    @cached_property
     def transitions(self) -> DataFrame:
-        return mdp.transition_probabilities(self.numbered, self.actions)
+        return mdp.transition_probabilities(stage(self.numbered, "numbered-edges"), self.actions)
+
+    @cached_property
+    def staged_transitions(self) -> DataFrame:
+        return stage(self.transitions, "transitions")
 
 
 def bucket_model(spark: SparkSession, sf_dir: str) -> Model:
@@ -103,6 +110,6 @@ def position_model(spark: SparkSession, sf_dir: str) -> Model:
 
 def described(spark: SparkSession, sf_dir: str) -> tuple[Model, DataFrame]:
     """The bucket model and its described states, all attributes as text or numbers."""
-    model = bucket_model(spark, sf_dir)
+    model = Model(bucket_log(spark, sf_dir), ["bucket"], ("segment", "resource", "value", "k"))
     table = mdp.describe_states(model.steps, model.states, ["segment", "resource"], ["value", "k"])
     return model, table

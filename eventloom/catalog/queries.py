@@ -329,7 +329,7 @@ def initial_states(spark, sf_dir):
 @query
 def valid_actions(spark, sf_dir):
     model = position_model(spark, sf_dir)
-    masks = mdp.valid_actions(model.transitions, model.states)
+    masks = mdp.valid_actions(model.staged_transitions, model.states)
     return masks.select("state", F.array_join("actions", ",").alias("actions"))
 
 
@@ -341,7 +341,7 @@ def states_of_action(spark, sf_dir):
 @query
 def simplicity(spark, sf_dir):
     model = position_model(spark, sf_dir)
-    return mdp.simplicity(model.states, model.transitions)
+    return mdp.simplicity(model.states, model.staged_transitions)
 
 
 @query
@@ -434,7 +434,7 @@ def classify_columns(spark, sf_dir):
 def bool_fluents(spark, sf_dir):
     model, states = _encoded_states(spark, sf_dir)
     attributes = encode.classify_columns(states)
-    names = encode.fluent_names(states, model.transitions, attributes)
+    names = stage(encode.fluent_names(states, model.staged_transitions, attributes), "fluent-names")
     return encode.true_fluents(states, names, attributes)
 
 
@@ -442,7 +442,7 @@ def bool_fluents(spark, sf_dir):
 def fluent_support(spark, sf_dir):
     model, states = _encoded_states(spark, sf_dir)
     attributes = encode.classify_columns(states)
-    names = stage(encode.fluent_names(states, model.transitions, attributes), "fluent-names")
+    names = stage(encode.fluent_names(states, model.staged_transitions, attributes), "fluent-names")
     return encode.fluent_support(names, encode.true_fluents(states, names, attributes), states.count())
 
 
@@ -450,7 +450,7 @@ def fluent_support(spark, sf_dir):
 def initial_fluents(spark, sf_dir):
     model, states = _encoded_states(spark, sf_dir)
     attributes = encode.classify_columns(states)
-    names = stage(encode.fluent_names(states, model.transitions, attributes), "fluent-names")
+    names = stage(encode.fluent_names(states, model.staged_transitions, attributes), "fluent-names")
     state = encode.initial_candidates(states).agg(F.min("state")).first()[0]
     return encode.initial_fluents(names, encode.true_fluents(states, names, attributes), state)
 
@@ -485,12 +485,12 @@ def uniquify(spark, sf_dir):
 
 @query
 def action_names(spark, sf_dir):
-    return encode.action_names(bucket_model(spark, sf_dir).transitions)
+    return encode.action_names(bucket_model(spark, sf_dir).staged_transitions)
 
 
 @query
 def stick_breaking(spark, sf_dir):
-    clauses = encode.stick_breaking(position_model(spark, sf_dir).transitions)
+    clauses = encode.stick_breaking(position_model(spark, sf_dir).staged_transitions)
     return clauses.select(
         "source", "action", "target", "position", "previous_target", r6("mass_before"), r6("cond_p"), "is_last"
     )

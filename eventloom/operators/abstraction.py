@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.operators.mdp import LAST_ACTION
-from eventloom.operators.scan import dense_index
+from eventloom.operators.scan import dense_index, find_splits
 from eventloom.operators.transform import feature_vectors, fit_clusters
 from eventloom.staging import stage
 
@@ -31,8 +31,9 @@ KINDS = (
 
 def merge_equal(keyed: DataFrame) -> DataFrame:
     """Merge states of equal ``key``; ``keyed`` has (state, key)."""
-    classes = stage(keyed.groupBy("key").agg(F.min("state").alias("first_state")), "state-classes")
-    numbered = dense_index(classes, ["first_state"], "abstract_state")
+    classes = keyed.groupBy("key").agg(F.min("state").alias("first_state"))
+    splits = find_splits(keyed.select(F.col("state").alias("first_state")), (), ("first_state",))
+    numbered = dense_index(classes, ["first_state"], "abstract_state", splits=splits)
     return keyed.join(numbered, "key").select("state", "abstract_state")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from eventloom.functions.missing import to_boolean
 from eventloom.functions.names import category_label, sanitize_name
-from eventloom.operators.scan import GroupMax, Previous, RowNumber, RunningSum, ordered_scan
+from eventloom.operators.scan import GroupMax, Previous, RowNumber, RunningSum, Splits, ordered_scan, unsplit
 from eventloom.spec import col
 from eventloom.staging import stage
 
@@ -36,9 +36,11 @@ ATTRIBUTE_SCHEMA = "position long, attribute string, kind string, pvar string"
 # --- names -----------------------------------------------------------------------
 
 
-def uniquify(df: DataFrame, name: str, order: Sequence[str], output: str = "unique_name") -> DataFrame:
+def uniquify(
+    df: DataFrame, name: str, order: Sequence[str], output: str = "unique_name", splits: Splits | None = None
+) -> DataFrame:
     """Number repeated names in ``order``: x, x_2, x_3, ..."""
-    numbered = ordered_scan(df, [name], order, {"__occurrence": RowNumber()})
+    numbered = ordered_scan(df, [name], order, {"__occurrence": RowNumber()}, splits)
     again = F.concat_ws("_", col(name), F.col("__occurrence").cast("string"))
     value = F.when(F.col("__occurrence") == 1, col(name)).otherwise(again)
     return numbered.withColumn(output, value).drop("__occurrence")
@@ -113,10 +115,13 @@ def classify_columns(
     if not kinds:
         return states.sparkSession.createDataFrame([], ATTRIBUTE_SCHEMA)
     table = states.sparkSession.createDataFrame(kinds, "position long, attribute string, kind string")
-    named = uniquify(table.withColumn("name", sanitize_name(F.col("attribute"))), "name", ["position"], "pvar")
+    table = table.withColumn("name", sanitize_name(F.col("attribute")))
+    named = uniquify(table, "name", ["position"], "pvar", unsplit(["name"], ["position"]))
     if max_attributes is not None:
         named = named.where(F.col("position") < max_attributes)
-    return named.select("position", "attribute", "kind", "pvar")
+    # one row per column of the table
+    rows = named.select("position", "attribute", "kind", "pvar").orderBy("position").collect()
+    return states.sparkSession.createDataFrame(rows, ATTRIBUTE_SCHEMA)
 
 
 def _attribute_values(states: DataFrame, attributes: Sequence, id_col: str) -> DataFrame:

@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.operators.scan import Following, RowNumber, Splits, dense_index, ordered_scan
+from eventloom.operators.scan import Following, RowNumber, Splits, dense_index, find_splits, ordered_scan
 from eventloom.spec import LogSpec, col
-from eventloom.staging import stage
 
 LAST_ACTION = "last_action"
 
@@ -85,17 +84,21 @@ def count_edges(steps: DataFrame, spec: LogSpec) -> DataFrame:
 
 
 def state_space(edges: DataFrame) -> DataFrame:
-    """(state, state_key, visits, initial, first_at): ids in order of first appearance."""
+    """(state, state_key, visits, initial, first_at): ids in order of first appearance.
+
+    The edges are read twice, so hand in a staged table.
+    """
     states = edges.groupBy("state_key").agg(
         F.sum("n").alias("visits"), F.max("initial").alias("initial"), F.min("first_at").alias("first_at")
     )
-    return dense_index(stage(states, "distinct-states"), ["first_at"], "state")
+    return dense_index(states, ["first_at"], "state", splits=find_splits(edges, (), ("first_at",)))
 
 
 def action_index(edges: DataFrame) -> DataFrame:
     """(action_index, action): ids in order of first appearance; the start action comes first."""
     actions = edges.groupBy(F.col(f"state_key.{LAST_ACTION}").alias("action")).agg(F.min("first_at").alias("first_at"))
-    return dense_index(stage(actions, "distinct-actions"), ["first_at"], "action_index").select("action_index", "action")
+    numbered = dense_index(actions, ["first_at"], "action_index", splits=find_splits(edges, (), ("first_at",)))
+    return numbered.select("action_index", "action")
 
 
 def number_edges(edges: DataFrame, states: DataFrame) -> DataFrame:
@@ -199,24 +202,32 @@ def describe_states(
     needed = [LAST_ACTION, "step", *categorical, *numeric]
     rows = steps.join(states.select("state", "state_key"), "state_key").select("state", *map(col, needed))
 
-    pairs = F.array(*[F.struct(F.lit(i).alias("at"), col(n).cast("string").alias("value")) for i, n in enumerate(names)])
+    def pair(i: int, name: str) -> Column:
+        """A category; the first one also carries the row's numbers, so that one pass does for all."""
+        numbers = [
+            (col(n).cast("double") if i == 0 else F.lit(None).cast("double")).alias(f"x{j}") for j, n in enumerate(numeric)
+        ]
+        first = (F.col("step") == 0) if i == 0 else F.lit(False)
+        return F.struct(F.lit(i).alias("at"), col(name).cast("string").alias("value"), first.alias("first"), *numbers)
+
     counted = (
-        rows.select("state", F.inline(pairs))
-        .where(F.col("value").isNotNull())
+        rows.select("state", F.inline(F.array(*[pair(i, n) for i, n in enumerate(names)])))
         .groupBy("state", "at", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    best = counted.groupBy("state", "at").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"))
-    modes = best.groupBy("state").agg(
-        *[F.max(F.when(F.col("at") == i, F.col("value"))).alias(f"__mode_{i}") for i in range(len(names))]
-    )
-    means = rows.groupBy("state").agg(
-        F.max(F.col("step") == 0).alias("initial"), *[F.avg(col(n)).alias(n) for n in numeric]
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max("first").alias("first"),
+            *[F.sum(f"x{j}").alias(f"sum{j}") for j in range(len(numeric))],
+            *[F.count(f"x{j}").alias(f"count{j}") for j in range(len(numeric))],
+        )
     )
+
+    def mode(i: int) -> Column:
+        mine = (F.col("at") == i) & F.col("value").isNotNull()
+        return F.min_by("value", F.when(mine, F.struct(-F.col("n"), F.col("value"))))
+
     renamed = ["last_action_name", *categorical]
-    return means.join(modes, "state", "left").select(
-        "state",
-        *[F.col(f"__mode_{i}").alias(n) for i, n in enumerate(renamed)],
-        *map(col, numeric),
-        "initial",
+    return counted.groupBy("state").agg(
+        *[mode(i).alias(n) for i, n in enumerate(renamed)],
+        *[(F.sum(f"sum{j}") / F.sum(f"count{j}")).alias(n) for j, n in enumerate(numeric)],
+        F.max("first").alias("initial"),
     )

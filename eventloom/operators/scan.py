@@ -64,6 +64,11 @@ class Splits:
     longest: int = 0
 
 
+def unsplit(keys: Sequence[str], order: Sequence[str]) -> Splits:
+    """For tables that are known to be small, such as one row per column."""
+    return Splits(tuple(keys), tuple(order), None)
+
+
 def find_splits(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SplitPolicy | None = None
 ) -> Splits:
@@ -77,8 +82,9 @@ def find_splits(
     keys, order = tuple(keys), tuple(order)
     sample = df.select(*map(col, dict.fromkeys(keys + order)))
     if policy.sample_every > 1:
-        picked = F.pmod(F.xxhash64(*map(col, keys + order)), F.lit(policy.sample_every)) == 0
-        sample = sample.where(picked)
+        # by the sort position alone (unique within a group): the filter then sinks to the
+        # scan, below whatever computes the keys
+        sample = sample.where(F.pmod(F.xxhash64(*map(col, order)), F.lit(policy.sample_every)) == 0)
     ranks = Window.partitionBy(*(list(map(col, keys)) or [F.lit(0)])).orderBy(*map(col, order))
     ranked = sample.withColumn("__rank", F.row_number().over(ranks))
     stride = max(1, policy.rows_per_segment // policy.sample_every)

@@ -70,7 +70,7 @@ def discover(
     attributes = list(attributes if attributes is not None else state_attributes(df, spec))
     splits = splits or find_splits(df, [spec.case], spec.order)
     cut = clean.cut_at_terminal(df, spec, spec.terminal_activities, splits)
-    steps = mdp.mdp_steps(cut, spec, attributes, splits)
+    steps = stage(mdp.mdp_steps(cut, spec, attributes, splits), "steps")
 
     edges = stage(mdp.count_edges(steps, spec), "edges")
     unabstracted = stage(mdp.state_space(edges), "states")
