@@ -50,7 +50,13 @@ def to_boolean(value: Column, data_type: T.DataType) -> Column:
     return F.coalesce(flag, F.lit(False))
 
 
+def text_of(value: Column, data_type: T.DataType) -> Column:
+    """A category as text; booleans are ``True`` and ``False``."""
+    text = value.cast("string")
+    return F.initcap(text) if isinstance(data_type, T.BooleanType) else text
+
+
 def boolean_text(value: Column, data_type: T.DataType, missing: str = "missing") -> Column:
     """``True``/``False`` as text; missing values get their own text."""
-    text = F.initcap(value.cast("string")) if isinstance(data_type, T.BooleanType) else value.cast("string")
+    text = text_of(value, data_type)
     return F.coalesce(F.when(~text.isin("nan", "NaN"), text), F.lit(missing))

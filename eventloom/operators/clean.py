@@ -93,9 +93,13 @@ def sentinels_to_null(df: DataFrame, texts: Sequence[str]) -> DataFrame:
     return _replace(df, {n: m.null_if_in(col(n), texts) for n in strings}) if texts else df
 
 
+def category_text(df: DataFrame, name: str) -> Column:
+    return m.text_of(col(name), df.schema[name].dataType)
+
+
 def fill_categories(df: DataFrame, names: Iterable[str], missing: str = "missing") -> DataFrame:
     """Categories as text, nulls filled."""
-    return _replace(df, {n: F.coalesce(col(n).cast("string"), F.lit(missing)) for n in _present(df, names)})
+    return _replace(df, {n: F.coalesce(category_text(df, n), F.lit(missing)) for n in _present(df, names)})
 
 
 def normalize_missing(df: DataFrame, names: Iterable[str], missing: str = "missing") -> DataFrame:
@@ -190,7 +194,7 @@ def cut_at_terminal(
 def value_counts(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """(attribute, value, n) of all ``names`` in one aggregation; nulls are not counted."""
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("attribute"), col(n).cast("string").alias("value")) for n in _present(df, names)]
+        *[F.struct(F.lit(n).alias("attribute"), category_text(df, n).alias("value")) for n in _present(df, names)]
     )
     return (
         df.select(F.inline(pairs))
@@ -216,6 +220,6 @@ def group_rare_values(
     order = df.columns
     for i, name in enumerate(names):
         mine = frequent.where(F.col("attribute") == name).select(F.col("value").alias(f"__value_{i}"))
-        df = df.join(mine, col(name) == F.col(f"__value_{i}"), "left")
+        df = df.join(mine, category_text(df, name) == F.col(f"__value_{i}"), "left")
     changes = {n: F.coalesce(F.col(f"__value_{i}"), F.lit(other)) for i, n in enumerate(names)}
     return df.select(*[changes.get(n, col(n)).alias(n) for n in order])

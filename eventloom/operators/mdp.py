@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.operators.clean import category_text
 from eventloom.operators.scan import Following, RowNumber, Splits, dense_index, find_splits, ordered_scan
 from eventloom.spec import LogSpec, col
 
@@ -208,7 +209,7 @@ def describe_states(
             (col(n).cast("double") if i == 0 else F.lit(None).cast("double")).alias(f"x{j}") for j, n in enumerate(numeric)
         ]
         first = (F.col("step") == 0) if i == 0 else F.lit(False)
-        return F.struct(F.lit(i).alias("at"), col(name).cast("string").alias("value"), first.alias("first"), *numbers)
+        return F.struct(F.lit(i).alias("at"), category_text(steps, name).alias("value"), first.alias("first"), *numbers)
 
     counted = (
         rows.select("state", F.inline(F.array(*[pair(i, n) for i, n in enumerate(names)])))

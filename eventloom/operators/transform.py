@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators.clean import drop_columns, numeric_columns, sentinels_to_null
+from eventloom.operators.clean import category_text, drop_columns, numeric_columns, sentinels_to_null
 from eventloom.operators.scan import RowNumber, RunningSum, ordered_scan
 from eventloom.spec import col
 from eventloom.staging import stage
@@ -52,7 +52,7 @@ def category_codes(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
     Nulls get no code. Works for any number of distinct values.
     """
-    pairs = F.array(*[F.struct(F.lit(n).alias("attribute"), col(n).cast("string").alias("value")) for n in names])
+    pairs = F.array(*[F.struct(F.lit(n).alias("attribute"), category_text(df, n).alias("value")) for n in names])
     values = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
     coded = ordered_scan(values, ["attribute"], ["value"], {"code": RowNumber()})
     return coded.withColumn("code", F.col("code") - 1)
@@ -63,7 +63,7 @@ def label_encode(df: DataFrame, name: str, codes: DataFrame, output: str) -> Dat
     mine = codes.where(F.col("attribute") == name).select(
         F.col("value").alias("__value"), F.col("code").alias(output)
     )
-    return df.join(mine, col(name).cast("string") == F.col("__value"), "left").drop("__value")
+    return df.join(mine, category_text(df, name) == F.col("__value"), "left").drop("__value")
 
 
 def few_categories(codes: DataFrame, limit: int = 100) -> dict[str, list[str]]:
@@ -79,7 +79,7 @@ def few_categories(codes: DataFrame, limit: int = 100) -> dict[str, list[str]]:
 def one_hot_columns(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
     """A 0/1 column ``{column}_{value}`` per value."""
     flags = {
-        f"{name}_{value}": F.coalesce((col(name).cast("string") == value).cast("double"), F.lit(0.0))
+        f"{name}_{value}": F.coalesce((category_text(df, name) == value).cast("double"), F.lit(0.0))
         for name, values in levels.items()
         for value in values
     }
@@ -228,7 +228,7 @@ def feature_vectors(
         levels = few_categories(codes, max_values)
         for i, name in enumerate(categorical):
             if name in levels:
-                parts.append(_indicators(name, levels[name]))
+                parts.append(_indicators(category_text(df, name), levels[name]))
             else:
                 df = label_encode(df, name, codes, f"__code_{i}")
                 parts.append(F.array(F.coalesce(F.col(f"__code_{i}").cast("double"), F.lit(-1.0))))
@@ -236,10 +236,9 @@ def feature_vectors(
     return df.select(*[col(n) for n in df.columns if not n.startswith("__code_")], vector)
 
 
-def _indicators(name: str, values: Sequence[str]) -> Column:
+def _indicators(text: Column, values: Sequence[str]) -> Column:
     """0/1 per value, as an array; a null matches none."""
-    value = F.coalesce(col(name).cast("string"), F.lit(""))
-    return F.transform(F.lit(list(values)), lambda v: (v == value).cast("double"))
+    return F.transform(F.lit(list(values)), lambda v: F.coalesce((v == text).cast("double"), F.lit(0.0)))
 
 
 def fit_clusters(vectors: DataFrame, k: int, seed: int = 0, weight: str | None = None) -> KMeansModel:

@@ -7,7 +7,7 @@ converted once and kept as Parquet.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,30 +28,41 @@ def read_traces(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", "trace").schema(TRACE_SCHEMA).load(path)
 
 
-def _value(holder: str, key: str, kind: str) -> Column:
-    """First attribute ``key`` of type ``kind``, or null."""
-    found = F.get(F.filter(F.col(f"{holder}{kind}"), lambda a: a["_key"] == key), F.lit(0))["_value"]
-    return found if kind == "string" else found.try_cast(TYPES[kind])
+def _value(holder: str, key: str, kinds: Sequence[str]) -> Column:
+    """First attribute ``key`` of one of the ``kinds``, as the widest of them, or null."""
+    texts = [F.get(F.filter(F.col(f"{holder}{k}"), lambda a: a["_key"] == key), F.lit(0))["_value"] for k in kinds]
+    text = F.coalesce(*texts) if len(texts) > 1 else texts[0]
+    kind = widest(kinds)
+    return text if kind == "string" else text.try_cast(TYPES[kind])
+
+
+def widest(kinds: Sequence[str]) -> str:
+    """The type for an attribute that occurs with several: float holds int, string holds all."""
+    if len(set(kinds)) == 1:
+        return kinds[0]
+    return "float" if set(kinds) == {"int", "float"} else "string"
 
 
 def read_xes(
     spark: SparkSession,
     path: str,
-    case_attributes: Mapping[str, str],
-    event_attributes: Mapping[str, str],
+    case_attributes: Mapping[str, str | Sequence[str]],
+    event_attributes: Mapping[str, str | Sequence[str]],
     sequence: str = "seq",
 ) -> DataFrame:
     """One row per event; trace attributes get the prefix ``case:``.
 
     The mappings name the wanted attributes and their types (string, date,
-    float, int, boolean). ``sequence`` is the position of the event in its trace.
+    float, int, boolean; several where an attribute occurs with several). ``sequence`` is the position of the event in its trace.
     """
-    for name, kind in (*case_attributes.items(), *event_attributes.items()):
-        if kind not in TYPES:
-            raise ValueError(f"attribute {name!r} has the unknown type {kind!r}")
+    kinds = {k: (t,) if isinstance(t, str) else tuple(t) for k, t in case_attributes.items()}
+    own_kinds = {k: (t,) if isinstance(t, str) else tuple(t) for k, t in event_attributes.items()}
+    for name, found in (*kinds.items(), *own_kinds.items()):
+        if not set(found) <= set(TYPES):
+            raise ValueError(f"attribute {name!r} has an unknown type in {found}")
     events = read_traces(spark, path).select("*", F.posexplode("event").alias("__at", "__event"))
-    cases = [_value("", k, t).alias(k if k.startswith("case:") else f"case:{k}") for k, t in case_attributes.items()]
-    own = [_value("__event.", k, t).alias(k) for k, t in event_attributes.items()]
+    cases = [_value("", k, t).alias(f"case:{k}") for k, t in kinds.items()]
+    own = [_value("__event.", k, t).alias(k) for k, t in own_kinds.items()]
     return events.select(*cases, *own, F.col("__at").cast("long").alias(sequence))
 
 
@@ -72,6 +83,17 @@ def list_attributes(spark: SparkSession, path: str) -> DataFrame:
     return both.groupBy("level", "type", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
+def attribute_types(spark: SparkSession, path: str) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+    """Types of the case and of the event attributes: one row per attribute name is collected."""
+    levels: dict[str, dict[str, list[str]]] = {"case": {}, "event": {}}
+    for row in list_attributes(spark, path).orderBy("level", "key", "type").collect():
+        levels[row["level"]].setdefault(row["key"], []).append(row["type"])
+    return levels["case"], levels["event"]
+
+
 def read_log(spark: SparkSession, path: str, spec: LogSpec) -> DataFrame:
-    """The attributes that ``spec`` names."""
-    return read_xes(spark, path, spec.xes_case_attributes, spec.xes_event_attributes, spec.sequence)
+    """The attributes that ``spec`` names, or all that the log has."""
+    case, event = spec.xes_case_attributes, spec.xes_event_attributes
+    if not event:
+        case, event = attribute_types(spark, path)
+    return read_xes(spark, path, case, event, spec.sequence)
