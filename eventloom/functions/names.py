@@ -40,8 +40,8 @@ def category_label(value: Column, data_type: T.DataType) -> Column:
     """Readable text of a category: 3.0 is ``3``, other floats have six digits."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         number = value.cast("double")
-        whole = number.cast("decimal(38,0)").cast("string")
-        return F.when(number == F.floor(number), whole).otherwise(_six_digits(number))
+        whole = number.try_cast("decimal(38,0)").cast("string")
+        return F.when(number % 1 == 0, whole).otherwise(_six_digits(number))
     if isinstance(data_type, T.BooleanType):
         return F.initcap(value.cast("string"))
     return value.cast("string")

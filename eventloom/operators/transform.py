@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators.clean import category_text, drop_columns, numeric_columns, sentinels_to_null
+from eventloom.operators.clean import category_text, drop_columns, nan_to_null, numeric_columns, sentinels_to_null
 from eventloom.operators.scan import RowNumber, RunningSum, ordered_scan
 from eventloom.spec import col
 from eventloom.staging import stage
@@ -151,7 +151,7 @@ def interval_labels(edges: Sequence[float]) -> list[str]:
     digits = next((d for d in range(3, 20) if len({_rounded(e, d) for e in edges}) == len(edges)), 3)
     shown = [_rounded(e, digits) for e in edges]
     # the lowest value belongs to the first bin
-    shown[0] = _rounded(shown[0] - 10.0**-digits, digits)
+    shown[0] -= 10.0**-digits
     return [f"({a}, {b}]" for a, b in zip(shown, shown[1:])]
 
 
@@ -206,7 +206,7 @@ def discretize_table(
 
     ``categorical`` columns become text; ``exclude`` columns stay as they are.
     """
-    df = sentinels_to_null(drop_columns(df, drop), sentinels)
+    df = nan_to_null(sentinels_to_null(drop_columns(df, drop), sentinels))
     categorical = list(categorical)
     texts = {n: col(n).cast("string") for n in categorical if n in df.columns}
     numbers = numeric_columns(df, categorical, exclude)
