@@ -157,6 +157,7 @@ def fluent_names(states: DataFrame, transitions: DataFrame, attributes: DataFram
     if not cats:
         return tri
     values = _attribute_values(states, cats, id_col).groupBy("position", "value", "number").agg(F.min("label").alias("label"))
+    values = stage(values, "attribute-values")
     ranked = ordered_scan(values, ["position"], ["number", "value"], {"rank": RowNumber()})
     named = ranked.join(attributes.select("position", "attribute", F.col("pvar").alias("base")), "position").withColumn(
         "name", F.concat_ws("-", "base", sanitize_name(F.col("label")))

@@ -69,18 +69,31 @@ def unsplit(keys: Sequence[str], order: Sequence[str]) -> Splits:
     return Splits(tuple(keys), tuple(order), None)
 
 
+def _surely_small(df: DataFrame, policy: SplitPolicy) -> bool:
+    """By the optimizer's size estimate, at a byte per row; joins make the estimate large, never small."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except AttributeError:  # no plan at hand, as with a remote session
+        return False
+    return int(str(size)) < policy.rows_per_segment
+
+
 def find_splits(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SplitPolicy | None = None
 ) -> Splits:
     """Find the groups that are too large for one task and where to cut them.
 
-    Runs one narrow job over ``keys`` and ``order``. Take the result once per
-    log and hand it to every operator that scans the log in the same order.
+    Runs one narrow job over ``keys`` and ``order``, unless the table is small by its
+    file size. Take the result once per
+    log and hand it to every operator that scans the log in the same order. The
+    positions must not tie within a group (use ``distinct`` where they may).
     """
     spark = df.sparkSession
     policy = policy or SplitPolicy.of(spark)
     keys, order = tuple(keys), tuple(order)
     sample = df.select(*map(col, dict.fromkeys(keys + order)))
+    if _surely_small(sample, policy):
+        return Splits(keys, order, None)
     if policy.sample_every > 1:
         # by the sort position alone (unique within a group): the filter then sinks to the
         # scan, below whatever computes the keys

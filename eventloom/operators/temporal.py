@@ -86,15 +86,19 @@ def open_case_counts(df: DataFrame, spec: LogSpec) -> DataFrame:
     instants = log.select(ts.alias("at"), F.lit(0).alias("delta"))
     changes = case_durations(log, spec).select(marks).unionByName(instants)
     net = changes.groupBy("at").agg(F.sum("delta").alias("net"))
-    # the log's own timestamps show where to cut; no need to aggregate for that
-    splits = find_splits(instants.select("at"), (), ("at",))
+    # the log's own timestamps show where to cut; the sampling sinks below the distinct
+    splits = find_splits(instants.select("at").distinct(), (), ("at",))
     running = ordered_scan(net, (), ("at",), {"open_cases": RunningSum(F.col("net"))}, splits)
     return running.select(F.col("at").alias(spec.timestamp), "open_cases")
 
 
-def with_open_cases(df: DataFrame, spec: LogSpec) -> DataFrame:
-    """The number of cases that are open at each event."""
-    counts = open_case_counts(df, spec).withColumnRenamed(spec.timestamp, "__at")
+def with_open_cases(df: DataFrame, spec: LogSpec, counts: DataFrame | None = None) -> DataFrame:
+    """The number of cases that are open at each event.
+
+    ``counts`` are those of :func:`open_case_counts` if they were taken already.
+    """
+    counts = open_case_counts(df, spec) if counts is None else counts
+    counts = counts.withColumnRenamed(spec.timestamp, "__at")
     kept = [col(n) for n in df.columns if n != "open_cases"]
     return df.join(counts, col(spec.timestamp) == F.col("__at"), "left").select(*kept, "open_cases")
 

@@ -53,7 +53,7 @@ def category_codes(df: DataFrame, names: Iterable[str]) -> DataFrame:
     Nulls get no code. Works for any number of distinct values.
     """
     pairs = F.array(*[F.struct(F.lit(n).alias("attribute"), category_text(df, n).alias("value")) for n in names])
-    values = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
+    values = stage(df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct(), "category-values")
     coded = ordered_scan(values, ["attribute"], ["value"], {"code": RowNumber()})
     return coded.withColumn("code", F.col("code") - 1)
 
@@ -68,8 +68,9 @@ def label_encode(df: DataFrame, name: str, codes: DataFrame, output: str) -> Dat
 
 def few_categories(codes: DataFrame, limit: int = 100) -> dict[str, list[str]]:
     """Sorted values of the attributes with at most ``limit`` distinct ones."""
-    attributes = codes.groupBy("attribute").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit)
-    rows = codes.join(attributes, "attribute", "left_semi").orderBy("attribute", "code").collect()
+    sizes = codes.groupBy("attribute").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit)
+    small = [r["attribute"] for r in sizes.collect()]
+    rows = codes.where(F.col("attribute").isin(small)).orderBy("attribute", "code").collect() if small else []
     levels: dict[str, list[str]] = {}
     for row in rows:
         levels.setdefault(row["attribute"], []).append(row["value"])

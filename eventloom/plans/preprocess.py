@@ -35,6 +35,10 @@ def preprocess(raw: DataFrame, spec: LogSpec) -> DataFrame:
     if spec.complete_with:
         log = clean.keep_complete_cases(log, spec, spec.complete_with, splits)
     log = clean.select_configured(log, spec).where(col(spec.timestamp).isNotNull())
+    counts = None
+    if spec.with_open_cases:
+        # needs case and timestamp only: counted before the log gets wide
+        counts = stage(temporal.open_case_counts(log.select(col(spec.case), col(spec.timestamp)), spec), "open-cases")
     log = temporal.with_calendar_features(log, spec)
 
     fill = [n for n in dict.fromkeys((*spec.categorical, *spec.numeric)) if n in log.columns]
@@ -50,8 +54,8 @@ def preprocess(raw: DataFrame, spec: LogSpec) -> DataFrame:
         duration.alias("execution_time_minutes"),
     )
     log = fill_missing(temporal.derive_time_features(log, spec), spec)
-    if spec.with_open_cases:
-        log = temporal.with_open_cases(stage(log, "log-before-open-cases"), spec)
+    if counts is not None:
+        log = temporal.with_open_cases(log, spec, counts)
     if spec.only_configured:
         log = clean.select_configured(log, spec, ["execution_time_minutes"])
     return group_rare(log, spec)
