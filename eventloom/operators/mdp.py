@@ -130,11 +130,15 @@ def map_edges(numbered: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def transition_probabilities(numbered: DataFrame, actions: DataFrame | None = None) -> DataFrame:
-    """(state, action_index, action, next_state, n, probability); pairs never seen have no row."""
-    taken = numbered.where(F.col("action").isNotNull())
-    counts = taken.groupBy("state", "action", "next_state").agg(F.sum("n").alias("n"))
+    """(state, action_index, action, next_state, n, probability); pairs never seen have no row.
+
+    ``numbered`` has one row per (state, action, next state), as :func:`number_edges`
+    and :func:`map_edges` give them.
+    """
+    taken = numbered.where(F.col("action").isNotNull()).select("state", "action", "next_state", "n")
+    # a join and not a window: a (state, action) with very many outcomes can be split
     totals = taken.groupBy("state", "action").agg(F.sum("n").alias("total"))
-    table = counts.join(totals, ["state", "action"])
+    table = taken.join(totals, ["state", "action"])
     if actions is not None:
         table = table.join(actions, "action", "left")
     else:
