@@ -432,6 +432,16 @@ FROM fluent_names""",
         DESCRIBED,
         FLAGGED,
     ),
+    "sanitize_names": "SELECT p_partkey, "
+    + ", ".join(
+        f"{sanitized(e)} AS {n}"
+        for n, e in {
+            "plain": "(p_name || ' / ' || p_brand || ' / ?')",
+            "camel": "(split_part(p_name, ' ', -1) || p_brand)",
+            "digits": "(CAST(p_size AS VARCHAR) || ' ' || p_type)",
+        }.items()
+    )
+    + " FROM part",
     "category_labels": over_log(
         "SELECT seq, "
         + ", ".join(

@@ -458,10 +458,12 @@ def initial_fluents(spark, sf_dir):
 @query
 def sanitize_names(spark, sf_dir):
     parts = spark.read.parquet(f"{sf_dir}/part.parquet")
-    texts = [c for c, t in parts.dtypes if t == "string"]
-    label = F.concat_ws("_", *texts)
-    camel = F.regexp_replace(F.initcap(label), " ", "")
-    return parts.select("p_partkey", sanitize_name(label).alias("plain"), sanitize_name(camel).alias("camel"))
+    label = F.concat_ws(" / ", "p_name", "p_brand", F.lit("?"))
+    camel = F.concat(F.element_at(F.split("p_name", " "), -1), F.col("p_brand"))
+    digits = F.concat(F.col("p_size").cast("string"), F.lit(" "), F.col("p_type"))
+    return parts.select(
+        "p_partkey", *[sanitize_name(t).alias(n) for n, t in {"plain": label, "camel": camel, "digits": digits}.items()]
+    )
 
 
 @query
