@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.bins import fixed_bins
 from eventloom.operators import mdp, temporal
-from eventloom.operators.scan import find_splits
+from eventloom.operators.scan import Splits, find_splits
 from eventloom.plans.preprocess import canonical
 from eventloom.spec import LogSpec
 from eventloom.staging import stage
@@ -60,18 +60,23 @@ def bucket_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_log(spark, sf_dir).withColumn("bucket", fixed_bins(F.col("value"), BUCKET_EDGES, BUCKET_LABELS))
 
 
-def position_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def position_log(spark: SparkSession, sf_dir: str, splits: Splits) -> DataFrame:
     """The log with the event number and k modulo 10."""
-    log = temporal.with_time_features(load_log(spark, sf_dir), SPEC)
-    return log.withColumn("k10", F.col("k") % 10)
+    log = load_log(spark, sf_dir)
+    return temporal.with_time_features(log, SPEC, splits).withColumn("k10", F.col("k") % 10)
+
+
+def log_splits(log: DataFrame) -> Splits:
+    """The cuts of its large cases; they hold for the log with more columns, too."""
+    return find_splits(log, [SPEC.case], SPEC.order)
 
 
 class Model:
     """A discovery over one of the logs, staged table by table."""
 
-    def __init__(self, log: DataFrame, attributes: list[str], reused: tuple[str, ...] = ()):
+    def __init__(self, log: DataFrame, attributes: list[str], reused: tuple[str, ...] = (), splits: Splits | None = None):
         """``reused`` columns of the log are kept in staged steps, to describe the states."""
-        self.steps = mdp.mdp_steps(log, SPEC, attributes, find_splits(log, [SPEC.case], SPEC.order))
+        self.steps = mdp.mdp_steps(log, SPEC, attributes, splits or log_splits(log))
         if reused:
             position = (SPEC.case, *SPEC.order, "step", "last_action", "action", "state_key", "next_key")
             self.steps = stage(self.steps.select(*position, *reused), "steps")
@@ -83,7 +88,7 @@ class Model:
 
     @cached_property
     def numbered(self) -> DataFrame:
-        return mdp.number_edges(self.edges, self.states)
+        return stage(mdp.number_edges(self.edges, self.states), "numbered-edges")
 
     @cached_property
     def actions(self) -> DataFrame:
@@ -91,7 +96,7 @@ class Model:
 
     @cached_property
     def transitions(self) -> DataFrame:
-        return mdp.transition_probabilities(stage(self.numbered, "numbered-edges"), self.actions)
+        return mdp.transition_probabilities(self.numbered, self.actions)
 
     @cached_property
     def staged_transitions(self) -> DataFrame:
@@ -105,7 +110,14 @@ def bucket_model(spark: SparkSession, sf_dir: str) -> Model:
 
 def position_model(spark: SparkSession, sf_dir: str) -> Model:
     """States: last action, event number and k modulo 10."""
-    return Model(position_log(spark, sf_dir), ["event_nr", "k10"])
+    splits = log_splits(load_log(spark, sf_dir))
+    return Model(position_log(spark, sf_dir, splits), ["event_nr", "k10"], splits=splits)
+
+
+def level_model(spark: SparkSession, sf_dir: str) -> Model:
+    """States: last action and a number in three groups."""
+    level = 1000.0 * (F.col("k") % 3) + F.col("k") % 2
+    return Model(load_log(spark, sf_dir).withColumn("level", level), ["level"])
 
 
 def described(spark: SparkSession, sf_dir: str) -> tuple[Model, DataFrame]:

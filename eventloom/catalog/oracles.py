@@ -318,6 +318,15 @@ SELECT seq, round((value - avg(value) OVER ()) / stddev_pop(value) OVER (), 6) A
         )
         + " FROM log"
     ),
+    "sparse_one_hot": over_log(
+        f"""
+SELECT * FROM (
+  SELECT seq, 'slot' AS attribute, {SLOT} AS value FROM log
+  UNION ALL SELECT seq, 'activity', activity FROM log
+  UNION ALL SELECT seq, 'resource', resource FROM log) WHERE value IS NOT NULL"""
+    ),
+    "from_one_hot": over_log("SELECT seq, activity FROM log"),
+    "standardize_inverse": over_log("SELECT seq, round(value, 6) AS value, round(CAST(k AS DOUBLE), 6) AS k FROM log"),
     "label_encode": over_log(
         f"SELECT seq, slot, dense_rank() OVER (ORDER BY slot) - 1 AS code FROM (SELECT seq, {SLOT} AS slot FROM log)"
     ),
@@ -408,6 +417,11 @@ vectors AS (SELECT s.state, list((SELECT count(*) FROM entries e WHERE e.state =
             ORDER BY a.action_index) AS counts FROM states s, actions a GROUP BY s.state)""",
         mapped("counts", "vectors"),
     ),
+    "kmeans_states": over_log(
+        "SELECT state, abstract_state, last_action, visits FROM mapping JOIN states USING (state)",
+        *model_ctes({"level": "1000.0 * (k % 3) + k % 2"}),
+        mapped("last_action || '/' || CAST(floor(level / 1000) AS INTEGER)"),
+    ),
     "abstraction_map": over_position_model(
         "SELECT state, abstract_state FROM mapping", mapped("last_action || '/' || (k10 < 5) || '/' || event_nr")
     ),

@@ -14,6 +14,7 @@ from eventloom.catalog.log import (
     bucket_log,
     bucket_model,
     described,
+    level_model,
     load_log,
     position_model,
 )
@@ -212,11 +213,34 @@ def standardize(spark, sf_dir):
     return transform.Standardizer.fit(log, ["value", "k"]).apply(log).select("seq", r6("value"), r6("k"))
 
 
+@query
+def standardize_inverse(spark, sf_dir):
+    log = load_log(spark, sf_dir).select("seq", "value", "k")
+    scaler = transform.Standardizer.fit(log, ["value", "k"])
+    return scaler.invert(scaler.apply(log)).select("seq", r6("value"), r6("k"))
+
+
 @query
 def one_hot(spark, sf_dir):
     log = load_log(spark, sf_dir).select("seq", "activity", "resource")
-    levels = transform.few_categories(transform.category_codes(log, ["activity", "resource"]))
-    return transform.one_hot_columns(log, levels).drop("activity", "resource")
+    names = ["activity", "resource"]
+    levels = transform.category_levels(transform.category_codes(log, names), names)
+    return transform.one_hot_columns(log, levels).drop(*names)
+
+
+@query
+def sparse_one_hot(spark, sf_dir):
+    slot = F.concat_ws("-", F.col("k").cast("string"), F.hour("ts").cast("string"))
+    log = load_log(spark, sf_dir).select("seq", slot.alias("slot"), "activity", "resource")
+    return transform.sparse_one_hot(log, ["seq"], ["slot", "activity", "resource"])
+
+
+@query
+def from_one_hot(spark, sf_dir):
+    log = load_log(spark, sf_dir).select("seq", "activity")
+    levels = transform.category_levels(transform.category_codes(log, ["activity"]), ["activity"])
+    wide = transform.one_hot_columns(log, levels).drop("activity")
+    return wide.select("seq", transform.from_one_hot(wide, "activity", levels["activity"]).alias("activity"))
 
 
 @query
@@ -254,11 +278,9 @@ def discretize_fallback(spark, sf_dir):
         F.when(F.col("k") % 10 == 0, F.col("k")).otherwise(F.lit(1)).alias("mostly_one"),
         "k",
     )
-    return transform.discretize_table(table, exclude=["seq"], bins=4).drop("k").join(
-        # four bins have interval texts as labels, which SQL does not know: compare their sizes
-        transform.Discretizer.fit(table, ["k"], 4, ("a", "b", "c", "d")).apply(table).select("seq", F.col("k").alias("bin")),
-        "seq",
-    )
+    # bins without labels of their own have interval texts, which SQL does not know
+    fitted = transform.Discretizer.fit(table, ["two_values", "mostly_one", "k"], 4, ("a", "b", "c", "d"))
+    return fitted.apply(table).withColumnRenamed("k", "bin")
 
 
 @query
@@ -270,9 +292,10 @@ def quantile_edges(spark, sf_dir):
 
 @query
 def kmeans_states(spark, sf_dir):
-    model = bucket_model(spark, sf_dir)
+    # three groups of near numbers, far from each other: any good partition is this one
+    model = level_model(spark, sf_dir)
     states = model.states
-    mapping = abstraction.k_means(states, 4, [], ["bucket"])
+    mapping = abstraction.k_means(states, 3, ["level"], [])
     return mapping.join(states, "state").select(
         "state", "abstract_state", F.col("state_key.last_action").alias("last_action"), "visits"
     )
@@ -362,7 +385,8 @@ def describe_states(spark, sf_dir):
 
 
 def _abstract(model, mapping):
-    return mdp.transition_probabilities(mdp.map_edges(model.numbered, mapping)).select(
+    mapping = stage(mapping, "mapping")
+    return mdp.transition_probabilities(stage(mdp.map_edges(model.numbered, mapping), "abstract-edges")).select(
         "state", "action", "next_state", r6("probability")
     )
 

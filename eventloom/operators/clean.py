@@ -188,6 +188,9 @@ def cut_at_terminal(
     return scanned.where(F.col("__first").isNull() | (position <= F.col("__first"))).drop("__first")
 
 
+#: Frequent values of a column that are written into the plan; more are joined.
+LISTED_VALUES = 500
+
 # --- rare values ----------------------------------------------------------------
 
 
@@ -214,12 +217,24 @@ def group_rare_values(
 ) -> DataFrame:
     """Replace values that are not in ``frequent`` (see :func:`frequent_values`).
 
-    Hand in a staged table: its file size then decides whether it is broadcast.
+    Hand in a staged table. Columns with few frequent values are compared with
+    these, all in one projection; only the others are joined, and the table's
+    file size decides whether it is broadcast. The result is the same.
     """
     names = _present(df, names)
     order = df.columns
+    sizes = {r["attribute"]: r["n"] for r in frequent.groupBy("attribute").agg(F.count(F.lit(1)).alias("n")).collect()}
+    short = [n for n in names if sizes.get(n, 0) <= LISTED_VALUES]
+    listed: dict[str, list[str]] = {n: [] for n in short}
+    for r in frequent.where(F.col("attribute").isin(short)).collect() if short else []:
+        listed[r["attribute"]].append(r["value"])
+    changes = {}
     for i, name in enumerate(names):
+        text = category_text(df, name)
+        if name in listed:
+            changes[name] = F.when(text.isin(*listed[name]), text).otherwise(F.lit(other)) if listed[name] else F.lit(other)
+            continue
         mine = frequent.where(F.col("attribute") == name).select(F.col("value").alias(f"__value_{i}"))
-        df = df.join(mine, category_text(df, name) == F.col(f"__value_{i}"), "left")
-    changes = {n: F.coalesce(F.col(f"__value_{i}"), F.lit(other)) for i, n in enumerate(names)}
+        df = df.join(mine, text == F.col(f"__value_{i}"), "left")
+        changes[name] = F.coalesce(F.col(f"__value_{i}"), F.lit(other))
     return df.select(*[changes.get(n, col(n)).alias(n) for n in order])

@@ -82,15 +82,18 @@ def classify_columns(
     id_col: str = "state",
     skip: Iterable[str] = ("last_action_name", "initial"),
     max_numeric_values: int = 20,
-    max_attributes: int | None = None,
+    attributes: Sequence[str] | None = None,
 ) -> DataFrame:
     """(position, attribute, kind, pvar): ``tri`` for true/false/missing, else ``cat``.
 
-    A numeric column with more than ``max_numeric_values`` distinct values is
+    ``attributes`` names the columns to encode, all by default. A numeric column with more than ``max_numeric_values`` distinct values is
     an error: it must be discretized first.
     """
     skip = {id_col, *skip}
-    fields = [f for f in states.schema if f.name not in skip]
+    unknown = set(attributes or ()) - set(states.columns)
+    if unknown:
+        raise ValueError(f"no such attributes: {sorted(unknown)}")
+    fields = [f for f in states.schema if f.name not in skip and (attributes is None or f.name in attributes)]
     strings = [f.name for f in fields if not isinstance(f.dataType, (T.BooleanType, T.NumericType))]
     numbers = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
     checks = [F.lit(1).alias("one")]
@@ -117,8 +120,6 @@ def classify_columns(
     table = states.sparkSession.createDataFrame(kinds, "position long, attribute string, kind string")
     table = table.withColumn("name", sanitize_name(F.col("attribute")))
     named = uniquify(table, "name", ["position"], "pvar", unsplit(["name"], ["position"]))
-    if max_attributes is not None:
-        named = named.where(F.col("position") < max_attributes)
     # one row per column of the table
     rows = named.select("position", "attribute", "kind", "pvar").orderBy("position").collect()
     return states.sparkSession.createDataFrame(rows, ATTRIBUTE_SCHEMA)
@@ -348,7 +349,7 @@ def encode(
     initial: int | None = None,
     bonus: float = 10.0,
     end_action: str = "archive_application",
-    max_attributes: int | None = None,
+    attributes: Sequence[str] | None = None,
     max_numeric_values: int = 20,
     include_attributes: bool = True,
 ) -> dict[str, DataFrame]:
@@ -367,12 +368,10 @@ def encode(
         "initial_state": states.where(F.col("state") == chosen).select("state"),
     }
     if include_attributes:
-        attributes = classify_columns(
-            states, max_numeric_values=max_numeric_values, max_attributes=max_attributes
-        )
-        names = stage(fluent_names(states, transitions, attributes), "fluent-names")
+        classified = classify_columns(states, max_numeric_values=max_numeric_values, attributes=attributes)
+        names = stage(fluent_names(states, transitions, classified), "fluent-names")
         check_unique(names, "pvar")
-        fluents = true_fluents(states, names, attributes)
+        fluents = true_fluents(states, names, classified)
         tables |= {
             "fluent_names": names,
             "fluents": fluents,

@@ -75,7 +75,11 @@ def mdp_steps(df: DataFrame, spec: LogSpec, attributes: Sequence[str], splits: S
 
 
 def count_edges(steps: DataFrame, spec: LogSpec) -> DataFrame:
-    """(state_key, action, next_key, n, first_at, initial), aggregated map-side first."""
+    """(state_key, action, next_key, n, first_at, initial), aggregated map-side first.
+
+    The first position is a struct of any types, so Spark sorts before it
+    aggregates; a position as one number would need a rank of all cases.
+    """
     position = F.struct(col(spec.case).alias("case"), *[col(c).alias(f"at{i}") for i, c in enumerate(spec.order)], "step")
     return steps.groupBy("state_key", "action", "next_key").agg(
         F.count(F.lit(1)).alias("n"),
@@ -170,25 +174,27 @@ def initial_states(states: DataFrame) -> DataFrame:
 def simplicity(states: DataFrame, transitions: DataFrame) -> DataFrame:
     """(measure, n): distinct states, and distinct (state, action, next state) with mass."""
     nodes = states.select("state").distinct().agg(F.count(F.lit(1)).alias("n"))
-    edges = (
-        transitions.where(F.col("probability") > 0)
-        .select("state", "action", "next_state")
-        .distinct()
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    # transitions are unique by construction
+    edges = transitions.where(F.col("probability") > 0).agg(F.count(F.lit(1)).alias("n"))
     return nodes.select(F.lit("nodes").alias("measure"), "n").unionByName(
         edges.select(F.lit("edges").alias("measure"), "n")
     )
 
 
-def next_states(steps: DataFrame, spec: LogSpec, states: DataFrame, splits: Splits | None = None) -> DataFrame:
-    """Per step its state id and the id of the next step's state in the case, -1 at the end."""
-    position = (*spec.order, "step")
-    rows = steps.join(states.select("state", "state_key"), "state_key").select(
-        *map(col, (spec.case, *position)), "state"
-    )
-    scanned = ordered_scan(rows, [spec.case], position, {"next_state": Following(F.col("state"))}, splits)
-    return scanned.withColumn("next_state", F.coalesce(F.col("next_state"), F.lit(-1).cast("long")))
+def next_states(steps: DataFrame, spec: LogSpec, states: DataFrame) -> DataFrame:
+    """Per step its state id and the id of the next step's state in the case, -1 at the end.
+
+    A step has the key of the next state, so both ids are looked up.
+    """
+    position = [*map(col, (spec.case, *spec.order)), "step"]
+    rows = steps.select(*position, "state_key", "next_key")
+    following = states.select(F.col("state").alias("next_state"), F.col("state_key").alias("next_key"))
+    # final rows have no next key, and would meet in one task if they were joined on it
+    leading = rows.where(F.col("next_key").isNotNull()).join(following, "next_key")
+    final = rows.where(F.col("next_key").isNull()).withColumn("next_state", F.lit(-1).cast("long"))
+    kept = [*position, "state_key", "next_state"]
+    both = leading.select(*kept).unionByName(final.select(*kept))
+    return both.join(states.select("state", "state_key"), "state_key").select(*position, "state", "next_state")
 
 
 def describe_states(
@@ -200,12 +206,11 @@ def describe_states(
     """One row per state: last action, most frequent category (the smallest on ties), mean number, initial flag.
 
     ``states`` maps ``state_key`` to ``state``; several keys may share a state.
-    Categories are counted per (state, column, value) first, so that no task
-    keeps all values of a state.
+    Categories are counted per (key, column, value) first, so that no task
+    keeps all values of a state; only the counts are joined with the states.
     """
     names = [LAST_ACTION, *categorical]
-    needed = [LAST_ACTION, "step", *categorical, *numeric]
-    rows = steps.join(states.select("state", "state_key"), "state_key").select("state", *map(col, needed))
+    rows = steps.select("state_key", *map(col, [LAST_ACTION, "step", *categorical, *numeric]))
 
     def pair(i: int, name: str) -> Column:
         """A category; the first one also carries the row's numbers, so that one pass does for all."""
@@ -215,16 +220,22 @@ def describe_states(
         first = (F.col("step") == 0) if i == 0 else F.lit(False)
         return F.struct(F.lit(i).alias("at"), category_text(steps, name).alias("value"), first.alias("first"), *numbers)
 
-    counted = (
-        rows.select("state", F.inline(F.array(*[pair(i, n) for i, n in enumerate(names)])))
-        .groupBy("state", "at", "value")
+    numbers = range(len(numeric))
+    per_key = (
+        rows.select("state_key", F.inline(F.array(*[pair(i, n) for i, n in enumerate(names)])))
+        .groupBy("state_key", "at", "value")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.max("first").alias("first"),
-            *[F.sum(f"x{j}").alias(f"sum{j}") for j in range(len(numeric))],
-            *[F.count(f"x{j}").alias(f"count{j}") for j in range(len(numeric))],
+            *[F.sum(f"x{j}").alias(f"sum{j}") for j in numbers],
+            *[F.count(f"x{j}").alias(f"count{j}") for j in numbers],
         )
     )
+    counted = (
+        per_key.join(states.select("state", "state_key"), "state_key")
+        .groupBy("state", "at", "value")
+        .agg(F.sum("n").alias("n"), F.max("first").alias("first"), *[F.sum(f"{s}{j}").alias(f"{s}{j}") for s in ("sum", "count") for j in numbers])
+    )
 
     def mode(i: int) -> Column:
         mine = (F.col("at") == i) & F.col("value").isNotNull()

@@ -11,7 +11,8 @@ per segment and joined back.
 
 The cut positions come from a sample of the sort keys, as for a range
 partitioning, but the results do not depend on them: wherever the cuts lie,
-every row is scanned and the outcome is the same.
+every row is scanned and the outcome is the same. A scan over a whole table has
+no cuts to join: its segments are the partitions of a range partitioning.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from eventloom.spec import col
+from eventloom.staging import stage
 
 SEGMENT = "__segment"
 CUTS = "__cuts"
-WHOLE = "__whole"
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,10 @@ class SplitPolicy:
 
 @dataclass(frozen=True)
 class Splits:
-    """Cuts of the large groups: (keys..., array of sort positions)."""
+    """Cuts of the large groups: (keys..., array of sort positions).
+
+    Without keys there is no table of cuts, only their number ``longest``.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
@@ -69,22 +73,12 @@ def unsplit(keys: Sequence[str], order: Sequence[str]) -> Splits:
     return Splits(tuple(keys), tuple(order), None)
 
 
-def _surely_small(df: DataFrame, policy: SplitPolicy) -> bool:
-    """By the optimizer's size estimate, at a byte per row; joins make the estimate large, never small."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except AttributeError:  # no plan at hand, as with a remote session
-        return False
-    return int(str(size)) < policy.rows_per_segment
-
-
 def find_splits(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SplitPolicy | None = None
 ) -> Splits:
     """Find the groups that are too large for one task and where to cut them.
 
-    Runs one narrow job over ``keys`` and ``order``, unless the table is small by its
-    file size. Take the result once per
+    Runs one narrow job over ``keys`` and ``order``. Take the result once per
     log and hand it to every operator that scans the log in the same order. The
     positions must not tie within a group (use ``distinct`` where they may).
     """
@@ -92,28 +86,33 @@ def find_splits(
     policy = policy or SplitPolicy.of(spark)
     keys, order = tuple(keys), tuple(order)
     sample = df.select(*map(col, dict.fromkeys(keys + order)))
-    if _surely_small(sample, policy):
-        return Splits(keys, order, None)
     if policy.sample_every > 1:
         # by the sort position alone (unique within a group): the filter then sinks to the
         # scan, below whatever computes the keys
         sample = sample.where(F.pmod(F.xxhash64(*map(col, order)), F.lit(policy.sample_every)) == 0)
-    ranks = Window.partitionBy(*(list(map(col, keys)) or [F.lit(0)])).orderBy(*map(col, order))
-    ranked = sample.withColumn("__rank", F.row_number().over(ranks))
     stride = max(1, policy.rows_per_segment // policy.sample_every)
-    while True:
-        rows = ranked.where(F.col("__rank") % stride == 0).drop("__rank").limit(policy.max_cuts + 1).collect()
-        if len(rows) <= policy.max_cuts:
-            break
-        stride *= 2
+    if not keys:
+        # the rows of a whole table are dealt out by range: only their number matters
+        sampled = sample.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        return Splits(keys, order, None, min(policy.max_cuts, sampled // stride))
+
+    def cut_rows(sampled: DataFrame, stride: int) -> list:
+        ranks = Window.partitionBy(*map(col, keys)).orderBy(*map(col, order))
+        ranked = sampled.withColumn("__rank", F.row_number().over(ranks))
+        return ranked.where(F.col("__rank") % stride == 0).drop("__rank").limit(policy.max_cuts + 1).collect()
+
+    rows = cut_rows(sample, stride)
+    if len(rows) > policy.max_cuts:
+        # wider segments: at most (rows of the sample) / stride cuts
+        sample = stage(sample, "split-sample")
+        rows = cut_rows(sample, max(stride, -(-sample.count() // policy.max_cuts)))
     if not rows:
         return Splits(keys, order, None)
-    table = spark.createDataFrame(rows, sample.schema)
-    if not keys:
-        table = table.withColumn(WHOLE, F.lit(0))
     position = F.struct(*map(col, order))
-    cuts = table.groupBy(*map(col, keys or (WHOLE,))).agg(F.sort_array(F.collect_list(position)).alias(CUTS))
-    return Splits(keys, order, cuts, len(rows))
+    table = spark.createDataFrame(rows, sample.schema)
+    cuts = table.groupBy(*map(col, keys)).agg(F.sort_array(F.collect_list(position)).alias(CUTS))
+    # staged, so that its size in bytes decides whether it is broadcast
+    return Splits(keys, order, stage(cuts, "cuts"), len(rows))
 
 
 # --- what can be computed in a scan -----------------------------------------
@@ -354,22 +353,22 @@ def ordered_scan(
     if splits.keys != keys or splits.order != order[: len(splits.order)]:
         raise ValueError(f"splits of {splits.keys}, {splits.order} do not fit {keys}, {order}")
     kept = df.columns
-    if not keys:
-        df = df.withColumn(WHOLE, F.lit(0))
-        keys = (WHOLE,)
-
-    if splits.cuts is None:
-        group = Window.partitionBy(*map(col, keys))
+    if not splits.longest:
+        group = Window.partitionBy(*(list(map(col, keys)) or [F.lit(0)]))
         ordered = group.orderBy(*map(col, order))
         return df.select(*map(col, kept), *[c.over(ordered, group).alias(n) for n, c in columns.items()])
 
-    # at most max_cuts positions, see find_splits
-    cuts = F.broadcast(splits.cuts.select(*[col(k).alias(f"__cut_{i}") for i, k in enumerate(keys)], CUTS))
-    same_group = [col(k).eqNullSafe(F.col(f"__cut_{i}")) for i, k in enumerate(keys)]
-    position = F.struct(*map(col, splits.order))
-    segment = F.when(F.col(CUTS).isNotNull(), _segment_of(position, F.col(CUTS), splits.longest))
-    helpers = [f"__cut_{i}" for i in range(len(keys))]
-    parted = df.join(cuts, same_group, "left").select("*", segment.alias(SEGMENT)).drop(CUTS, *helpers)
+    if keys:
+        cuts = splits.cuts.select(*[col(k).alias(f"__cut_{i}") for i, k in enumerate(keys)], CUTS)
+        same_group = [col(k).eqNullSafe(F.col(f"__cut_{i}")) for i, k in enumerate(keys)]
+        position = F.struct(*map(col, splits.order))
+        segment = F.when(F.col(CUTS).isNotNull(), _segment_of(position, F.col(CUTS), splits.longest))
+        helpers = [f"__cut_{i}" for i in range(len(keys))]
+        parted = df.join(cuts, same_group, "left").select("*", segment.alias(SEGMENT)).drop(CUTS, *helpers)
+    else:
+        # written with the number of its range partition, a row keeps its segment
+        ranged = df.repartitionByRange(splits.longest + 1, *map(col, order))
+        parted = stage(ranged.withColumn(SEGMENT, F.spark_partition_id()), "segments")
 
     # one summary row per segment of a large group: at most max_cuts more than there are such groups
     full = F.struct(*map(col, order))
@@ -379,7 +378,7 @@ def ordered_scan(
         .groupBy(*map(col, keys), SEGMENT)
         .agg(*[c.summary(full).alias(names[n]) for n, c in columns.items()])
     )
-    group = Window.partitionBy(*map(col, keys))
+    group = Window.partitionBy(*(list(map(col, keys)) or [F.lit(0)]))
     ordered = group.orderBy(SEGMENT)
     carries = summary.select(
         *[col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
@@ -387,7 +386,8 @@ def ordered_scan(
         *[c.carry(F.col(names[n]), ordered, group).alias(f"{names[n]}_carry") for n, c in columns.items()],
     )
     same = [col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)]
-    joined = parted.join(F.broadcast(carries), same + [F.col(SEGMENT) == F.col("__seg")], "left")
+    # staged, so that its size in bytes decides whether it is broadcast
+    joined = parted.join(stage(carries, "carries"), [*same, F.col(SEGMENT) == F.col("__seg")], "left")
 
     group = Window.partitionBy(*map(col, keys), SEGMENT)
     ordered = group.orderBy(*map(col, order))

@@ -26,12 +26,27 @@ class Standardizer:
     moments: Mapping[str, tuple[float, float]]
 
     @classmethod
-    def fit(cls, df: DataFrame, names: Sequence[str]) -> Standardizer:
-        aggregates = []
-        for i, n in enumerate(names):
-            aggregates += [F.avg(col(n)).alias(f"m{i}"), F.stddev_pop(col(n)).alias(f"s{i}")]
-        row = df.agg(*aggregates).first() if names else {}
-        return cls({n: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, n in enumerate(names)})
+    def fit(cls, df: DataFrame, names: Sequence[str], weight: str | None = None) -> Standardizer:
+        """``weight`` counts how many rows a row stands for; nulls take no part in a column's moments."""
+        if not names:
+            return cls({})
+        if weight is None:
+            aggregates = []
+            for i, n in enumerate(names):
+                aggregates += [F.avg(col(n)).alias(f"m{i}"), F.stddev_pop(col(n)).alias(f"s{i}")]
+            row = df.agg(*aggregates).first()
+            return cls({n: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, n in enumerate(names)})
+
+        def mean(x: Column, name: str) -> Column:
+            w = F.when(col(name).isNotNull(), col(weight).cast("double"))
+            return F.sum(w * x) / F.sum(w)
+
+        # the deviations are taken from the mean, in a second pass, so that nothing cancels
+        means = df.agg(*[mean(col(n), n).alias(f"m{i}") for i, n in enumerate(names)]).first()
+        centers = [means[f"m{i}"] or 0.0 for i in range(len(names))]
+        squares = [mean((col(n) - F.lit(c)) ** 2, n).alias(f"s{i}") for i, (n, c) in enumerate(zip(names, centers))]
+        row = df.agg(*squares).first()
+        return cls({n: (c, math.sqrt(row[f"s{i}"] or 0.0) or 1.0) for i, (n, c) in enumerate(zip(names, centers))})
 
     def scaled(self, name: str) -> Column:
         mean, deviation = self.moments[name]
@@ -66,17 +81,34 @@ def label_encode(df: DataFrame, name: str, codes: DataFrame, output: str) -> Dat
     return df.join(mine, category_text(df, name) == F.col("__value"), "left").drop("__value")
 
 
-def few_categories(codes: DataFrame, limit: int = 100) -> dict[str, list[str]]:
-    """Sorted values of the attributes with at most ``limit`` distinct ones."""
-    sizes = codes.groupBy("attribute").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit)
-    small = [r["attribute"] for r in sizes.collect()]
-    rows = codes.where(F.col("attribute").isin(small)).orderBy("attribute", "code").collect() if small else []
-    levels: dict[str, list[str]] = {}
+def category_levels(codes: DataFrame, names: Iterable[str], most: int = 10_000) -> dict[str, list[str]]:
+    """Sorted values of each of ``names`` (an empty list if it has none).
+
+    They become columns or vector places, so they are collected. An attribute
+    with more than ``most`` values is an error that names it: use
+    :func:`sparse_one_hot`, codes or hashed indicators for it.
+    """
+    names = list(names)
+    counts = codes.where(F.col("attribute").isin(names)).groupBy("attribute").agg(F.count(F.lit(1)).alias("n"))
+    wide = {r["attribute"]: r["n"] for r in counts.where(F.col("n") > most).collect()}
+    if wide:
+        raise ValueError(f"too many values for indicators: {wide}, at most {most}; choose another encoding for these columns")
+    rows = codes.where(F.col("attribute").isin(names)).orderBy("attribute", "code").collect()
+    levels: dict[str, list[str]] = {n: [] for n in names}
     for row in rows:
-        levels.setdefault(row["attribute"], []).append(row["value"])
+        levels[row["attribute"]].append(row["value"])
     return levels
 
 
+def sparse_one_hot(df: DataFrame, id_columns: Sequence[str], names: Iterable[str]) -> DataFrame:
+    """The ones of a one-hot encoding: (id columns, attribute, value), for any number of values.
+
+    A null has no row; all other indicators of a row are 0.
+    """
+    pairs = F.array(*[F.struct(F.lit(n).alias("attribute"), category_text(df, n).alias("value")) for n in names])
+    return df.select(*map(col, id_columns), F.inline(pairs)).where(F.col("value").isNotNull())
+
+
 def one_hot_columns(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
     """A 0/1 column ``{column}_{value}`` per value."""
     flags = {
@@ -218,27 +250,54 @@ def discretize_table(
 # --- clusters ------------------------------------------------------------------------
 
 
+#: How a category may enter a vector.
+ENCODINGS = ("indicator", "code", "hashed")
+#: Places of hashed indicators.
+HASHED = 256
+
+
 def feature_vectors(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], output: str = "features", max_values: int = 100
+    df: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    output: str = "features",
+    encoding: Mapping[str, str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
-    """One vector per row: scaled numbers, one-hot of small categories, codes of large ones."""
-    scaler = Standardizer.fit(df, list(numeric))
+    """One vector per row: scaled numbers, then the categories.
+
+    ``encoding`` gives the role of a category: ``indicator`` (one place per
+    value, the default, an error beyond 10,000 values), ``code`` (its place in
+    the sorted values) or ``hashed`` (256 places by hash). It never depends on
+    the data. ``weight`` counts how many rows a row stands for in the scaling.
+    """
+    encoding = dict(encoding or {})
+    unknown = set(encoding.values()) - set(ENCODINGS)
+    if unknown:
+        raise ValueError(f"unknown encodings {sorted(unknown)}, use {ENCODINGS}")
+    scaler = Standardizer.fit(df, list(numeric), weight)
     parts = [F.array(*[F.coalesce(scaler.scaled(n), F.lit(0.0)) for n in numeric])] if numeric else []
-    if categorical:
-        codes = stage(category_codes(df, categorical), "category-codes", "attribute")
-        levels = few_categories(codes, max_values)
-        for i, name in enumerate(categorical):
-            if name in levels:
-                parts.append(_indicators(category_text(df, name), levels[name]))
-            else:
-                df = label_encode(df, name, codes, f"__code_{i}")
-                parts.append(F.array(F.coalesce(F.col(f"__code_{i}").cast("double"), F.lit(-1.0))))
+    role = {n: encoding.get(n, "indicator") for n in categorical}
+    counted = [n for n in categorical if role[n] != "hashed"]
+    codes = stage(category_codes(df, counted), "category-codes", "attribute") if counted else None
+    levels = category_levels(codes, [n for n in counted if role[n] == "indicator"]) if counted else {}
+    for i, name in enumerate(categorical):
+        if role[name] == "indicator":
+            parts.append(_indicators(category_text(df, name), levels[name]))
+        elif role[name] == "hashed":
+            place = F.pmod(F.xxhash64(category_text(df, name)), F.lit(HASHED)).cast("string")
+            parts.append(_indicators(F.when(category_text(df, name).isNotNull(), place), [str(p) for p in range(HASHED)]))
+        else:
+            df = label_encode(df, name, codes, f"__code_{i}")
+            parts.append(F.array(F.coalesce(F.col(f"__code_{i}").cast("double"), F.lit(-1.0))))
     vector = array_to_vector(F.concat(*parts)).alias(output)
     return df.select(*[col(n) for n in df.columns if not n.startswith("__code_")], vector)
 
 
 def _indicators(text: Column, values: Sequence[str]) -> Column:
     """0/1 per value, as an array; a null matches none."""
+    if not values:
+        return F.array().cast("array<double>")
     return F.transform(F.lit(list(values)), lambda v: F.coalesce((v == text).cast("double"), F.lit(0.0)))
 
 

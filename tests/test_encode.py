@@ -108,8 +108,10 @@ def test_names_and_fluents(spark):
     assert support == {n: (len(true[n]), None) for n, _ in ordered}
     assert encode.fluent_support(names, fluents, 3).where("pvar = 'busy'").first()["constant"] is True
     assert encode.fluent_support(names, fluents.limit(0), 6).where("constant").count() == 0
-    first_two = encode.classify_columns(table, max_attributes=2)
-    assert first_two.count() == 2
+    chosen = encode.classify_columns(table, attributes=[attributes.orderBy("position").first()["attribute"]])
+    assert chosen.count() == 1
+    with pytest.raises(ValueError, match="nowhere"):
+        encode.classify_columns(table, attributes=["nowhere"])
 
 
 def test_fluents_avoid_state_names(spark):

@@ -82,9 +82,12 @@ def test_codes_and_one_hot(spark):
     df = spark.createDataFrame([(0, "b", True), (1, "a", None), (2, None, False), (3, "b", True)], "i int, c string, f boolean")
     codes = transform.category_codes(df, ["c", "f"])
     assert {tuple(r) for r in codes.collect()} == {("c", "a", 0), ("c", "b", 1), ("f", "False", 0), ("f", "True", 1)}
-    levels = transform.few_categories(codes, 2)
+    levels = transform.category_levels(codes, ["c", "f"], 2)
     assert levels == {"c": ["a", "b"], "f": ["False", "True"]}
-    assert transform.few_categories(codes, 1) == {}
+    with pytest.raises(ValueError, match="'c': 2"):
+        transform.category_levels(codes, ["c"], 1)
+    ones = transform.sparse_one_hot(df, ["i"], ["c", "f"])
+    assert {tuple(r) for r in ones.collect()} == {(0, "c", "b"), (0, "f", "True"), (1, "c", "a"), (2, "f", "False"), (3, "c", "b"), (3, "f", "True")}
     wide = transform.one_hot_columns(df, levels)
     assert wide.columns == ["i", "c", "f", "c_a", "c_b", "f_False", "f_True"]
     back = wide.select("i", transform.from_one_hot(wide, "c", levels["c"]).alias("c")).orderBy("i").collect()
@@ -98,8 +101,12 @@ def test_clusters(spark):
     df = spark.createDataFrame(rows, "i int, n double, c string, w double")
     vectors = transform.feature_vectors(df, ["n"], ["c"])
     assert len(vectors.first()["features"]) == 3
-    many = transform.feature_vectors(df, ["n"], ["c"], max_values=1)
-    assert {r["features"][1] for r in many.collect()} == {0.0, 1.0}
+    coded = transform.feature_vectors(df, ["n"], ["c"], encoding={"c": "code"})
+    assert {r["features"][1] for r in coded.collect()} == {0.0, 1.0}
+    hashed = transform.feature_vectors(df, [], ["c"], encoding={"c": "hashed"})
+    assert {(len(r["features"]), sum(r["features"])) for r in hashed.collect()} == {(transform.HASHED, 1.0)}
+    with pytest.raises(ValueError, match="ordinal"):
+        transform.feature_vectors(df, [], ["c"], encoding={"c": "ordinal"})
     model = transform.fit_clusters(vectors, 2, weight="w")
     got = model.transform(vectors).groupBy("c").agg(F.collect_set("cluster").alias("k")).collect()
     assert sorted(len(r["k"]) for r in got) == [1, 1]
@@ -107,3 +114,22 @@ def test_clusters(spark):
     for row in model.transform(vectors).collect():
         away = [float(np.linalg.norm(row["features"].toArray() - c)) for c in model.clusterCenters()]
         assert math.isclose(away[row["cluster"]], min(away))
+
+
+@pytest.mark.parametrize("n", [100, 101])
+def test_wide_categories_keep_their_form(spark, n):
+    df = spark.range(n).selectExpr("id as i", "concat('v', id) as c", "cast(id % 3 as double) as x")
+    levels = transform.category_levels(transform.category_codes(df, ["c"]), ["c"])
+    wide = transform.one_hot_columns(df, levels)
+    assert len(wide.columns) == 3 + n
+    vectors = transform.feature_vectors(df, ["x"], ["c"])
+    assert {len(r["features"]) for r in vectors.collect()} == {1 + n}
+    assert transform.sparse_one_hot(df, ["i"], ["c"]).count() == n
+
+
+def test_weighted_scaling_equals_that_of_the_rows(spark):
+    rows = [(0.0, 1000), (1.0, 2), (7.5, 2), (None, 50)]
+    states = spark.createDataFrame(rows, "x double, visits long")
+    log = states.selectExpr("x", "explode(sequence(1, cast(visits as int))) as i")
+    weighted = transform.Standardizer.fit(states, ["x"], "visits").moments["x"]
+    assert np.allclose(weighted, transform.Standardizer.fit(log, ["x"]).moments["x"])
