@@ -51,21 +51,21 @@ class _Map:
 
 
 def ngram_counts(text: str) -> np.ndarray:
-    """How often each bucket's n-grams occur in the text."""
+    """How often each bucket's n-grams occur in the text, which is read in pieces."""
     counts = np.zeros(BUCKETS, dtype=np.int64)
-    lowered = text.lower()
-    for at in range(0, len(lowered), PIECE):
-        # two more characters, so that an n-gram across pieces is seen once
-        points = np.frombuffer((" " * (at == 0) + lowered[max(0, at - 2 * (at > 0)) : at + PIECE] + " ").encode("utf-32-le", "replace"), dtype=np.uint32)
-        c = _Map.apply(points)
-        keep = np.ones(len(c), dtype=bool)
-        keep[1:] = (c[1:] != 32) | (c[:-1] != 32)
-        c = c[keep]
-        gram = c
+    padded = f" {text.lower()} " if text else ""
+    before = np.zeros(0, dtype=np.uint64)
+    for at in range(0, len(padded), PIECE):
+        c = _Map.apply(np.frombuffer(padded[at : at + PIECE].encode("utf-32-le", "replace"), dtype=np.uint32))
+        follows = np.concatenate([before[-1:] if len(before) else np.ones(1, dtype=np.uint64), c[:-1]])
+        both = np.concatenate([before, c[(c != 32) | (follows != 32)]])
+        gram = both
         for n in (1, 2, 3):
             if n > 1:
-                gram = gram[:-1] * np.uint64(0x100000001B3) + c[n - 1 :]
-            counts += np.bincount(((gram + np.uint64(n)) * _ODD >> _SHIFT).astype(np.int64), minlength=BUCKETS)
+                gram = gram[:-1] * np.uint64(0x100000001B3) + both[n - 1 :]
+            new = gram[max(0, len(before) - n + 1) :]
+            counts += np.bincount(((new + np.uint64(n)) * _ODD >> _SHIFT).astype(np.int64), minlength=BUCKETS)
+        before = both[-2:]
     return counts
 
 

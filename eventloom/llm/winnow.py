@@ -20,6 +20,7 @@ keeps documents on the probing side, and only hits are shuffled by document.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,10 @@ def _grams(words: Column, size: int) -> Column:
     return F.transform(_windows(F.size(words), size), lambda i: F.xxhash64(F.slice(words, i, size)))
 
 
+def _gram_column(size: int, words: Column) -> Column:
+    return _grams(words, size)
+
+
 def fingerprints(words: Column, span: int, k: int) -> Column:
     """The fingerprints of an array of words: an array of (hash, at), ``at`` from 0."""
     w = span - k + 1
@@ -106,7 +111,7 @@ def shared_passages(docs: DataFrame, items: DataFrame, span: int = 10, k: int =
     hit = stage(hashes.join(entries.where("size = 0").select("hash").distinct(), "hash").select("doc_id").distinct(), "hit-documents")
     prints = texts.join(hit, "doc_id").select("doc_id", F.lit(0).alias("size"), F.explode(fingerprints(text_words, span, k)).alias("p")).select("doc_id", "size", "p.hash", "p.at")
     for n in sorted(short):
-        grams = texts.select("doc_id", F.lit(n).alias("size"), F.posexplode(bind(text_words, lambda v, n=n: _grams(v, n))).alias("at", "hash"))
+        grams = texts.select("doc_id", F.lit(n).alias("size"), F.posexplode(bind(text_words, partial(_gram_column, n))).alias("at", "hash"))
         prints = prints.unionByName(grams.select("doc_id", "size", "hash", "at"))
     found = prints.alias("d").join(entries.alias("b"), (F.col("d.hash") == F.col("b.hash")) & (F.col("d.size") == F.col("b.size")))
     aligned = found.groupBy("doc_id", "item_id", (F.col("d.at") - F.col("b.at")).alias("shift")).agg(F.count(F.lit(1)).alias("prints"))
