@@ -35,7 +35,15 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--log", help="raw log; not needed when preprocess is skipped")
     parser.add_argument("--out", required=True, help="folder of the result tables")
     parser.add_argument("--skip", nargs="*", default=[], choices=STAGES, help="stages whose tables are reused")
-    parser.add_argument("--abstraction", default="partial_k_means", choices=[k for k in KINDS if k != "bucket"])
+    parser.add_argument("--abstraction", default="partial_k_means", choices=KINDS)
+    parser.add_argument("--bucket", help="state attribute of the bucket abstraction")
+    parser.add_argument("--attributes", nargs="*", default=None, help="state attributes; the configured ones by default")
+    parser.add_argument("--control-flow", nargs="*", default=[], help="state attributes kept apart by bucket and partial k-means")
+    parser.add_argument("--hashed", nargs="*", default=[], help="categories that k-means reads as hashed indicators")
+    parser.add_argument("--exclude", nargs="*", default=[], help="described columns that are not discretized")
+    parser.add_argument("--encode", nargs="*", default=None, help="described columns to encode; all by default")
+    parser.add_argument("--no-attributes", action="store_true", help="encode states and actions only")
+    parser.add_argument("--max-numeric-values", type=int, default=20)
     parser.add_argument("--k", type=int, default=10)
     parser.add_argument("--quantiles", type=int, default=3)
     parser.add_argument("--init-state", type=int, default=None)
@@ -63,6 +71,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         args.discount,
         args.quantiles,
         args.terminal_bonus,
+        args.attributes,
+        args.control_flow,
+        args.bucket,
+        args.exclude,
+        {n: "hashed" for n in args.hashed},
+        clear=True,
+        attributes_to_encode=args.encode,
+        max_numeric_values=args.max_numeric_values,
+        include_attributes=not args.no_attributes,
     )
 
 

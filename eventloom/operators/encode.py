@@ -349,7 +349,7 @@ def encode(
     initial: int | None = None,
     bonus: float = 10.0,
     end_action: str = "archive_application",
-    attributes: Sequence[str] | None = None,
+    attributes_to_encode: Sequence[str] | None = None,
     max_numeric_values: int = 20,
     include_attributes: bool = True,
 ) -> dict[str, DataFrame]:
@@ -368,7 +368,7 @@ def encode(
         "initial_state": states.where(F.col("state") == chosen).select("state"),
     }
     if include_attributes:
-        classified = classify_columns(states, max_numeric_values=max_numeric_values, attributes=attributes)
+        classified = classify_columns(states, max_numeric_values=max_numeric_values, attributes=attributes_to_encode)
         names = stage(fluent_names(states, transitions, classified), "fluent-names")
         check_unique(names, "pvar")
         fluents = true_fluents(states, names, classified)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from eventloom.operators import abstraction, clean, mdp
 from eventloom.operators.scan import Splits, find_splits
-from eventloom.spec import LogSpec
+from eventloom.spec import LogSpec, col
 from eventloom.staging import stage
 
 
@@ -58,19 +58,29 @@ def discover(
     bucket_of: Column | None = None,
     seed: int = 0,
     splits: Splits | None = None,
+    encoding: Mapping[str, str] | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DecisionModel:
     """Discover states, actions and transition probabilities.
 
     ``attributes`` make up a state together with the last action. ``kind`` is
     one of :data:`eventloom.operators.abstraction.KINDS`; ``bucket_of`` is an
-    expression over ``state_key`` for the kind ``bucket``.
+    expression over ``state_key`` for the kind ``bucket``. ``encoding`` is the
+    role of each category in k-means. ``keep`` names the columns that the steps
+    keep for :meth:`DecisionModel.describe`, all configured ones by default.
     """
     if kind not in abstraction.KINDS:
         raise ValueError(f"unknown abstraction {kind!r}, one of {abstraction.KINDS}")
     attributes = list(attributes if attributes is not None else state_attributes(df, spec))
     splits = splits or find_splits(df, [spec.case], spec.order)
     cut = clean.cut_at_terminal(df, spec, spec.terminal_activities, splits)
-    steps = stage(mdp.mdp_steps(cut, spec, attributes, splits), "steps")
+    kept = keep if keep is not None else dict.fromkeys((*spec.categorical, *spec.numeric, *spec.outcome_columns))
+    described = [n for n in dict.fromkeys([*kept, *attributes]) if n in df.columns]
+    position = [n for n in (spec.case, *spec.order) if n not in described]
+    # the attributes are in the log's columns once, and in the keys of the states
+    steps = mdp.mdp_steps(cut, spec, attributes, splits)
+    own = ("step", "last_action", "action", "state_key", "next_key")
+    steps = stage(steps.select(*map(col, [*position, *(n for n in described if n not in own)]), *own), "steps")
 
     edges = stage(mdp.count_edges(steps, spec), "edges")
     unabstracted = stage(mdp.state_space(edges), "states")
@@ -81,8 +91,8 @@ def discover(
         mapping = abstraction.identity(unabstracted)
         abstract_edges = numbered
     else:
-        mapping = stage(_mapping(df, unabstracted, numbered, attributes, kind, k, control_flow, bucket_of, seed), "mapping")
-        abstract_edges = mdp.map_edges(numbered, mapping)
+        mapping = stage(_mapping(df, unabstracted, numbered, attributes, kind, k, control_flow, bucket_of, seed, encoding), "mapping")
+        abstract_edges = stage(mdp.map_edges(numbered, mapping), "abstract-edges")
     states = unabstracted.select("state", "state_key", "initial").join(mapping, "state")
     states = states.select(states["abstract_state"].alias("state"), "state_key", "initial")
     transitions = stage(mdp.transition_probabilities(abstract_edges, actions), "transitions")
@@ -99,6 +109,7 @@ def _mapping(
     control_flow: Sequence[str],
     bucket_of: Column | None,
     seed: int,
+    encoding: Mapping[str, str] | None,
 ) -> DataFrame:
     if kind == "contextual":
         return abstraction.contextual(states)
@@ -114,4 +125,4 @@ def _mapping(
         return abstraction.action_count(numbered, states)
     numeric = [n for n in attributes if isinstance(df.schema[n].dataType, T.NumericType)]
     categorical = [n for n in attributes if n not in numeric]
-    return abstraction.k_means(states, k, numeric, categorical, control_flow, kind == "partial_k_means", seed)
+    return abstraction.k_means(states, k, numeric, categorical, control_flow, kind == "partial_k_means", seed, encoding)

@@ -6,9 +6,10 @@ them, so that a skipped stage reuses what an earlier run left there.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventloom.operators.encode import encode
 from eventloom.operators.policy import finite_horizon_policy
@@ -16,6 +17,7 @@ from eventloom.operators.transform import discretize_table
 from eventloom.plans.discovery import discover
 from eventloom.plans.preprocess import preprocess
 from eventloom.spec import LogSpec
+from eventloom.staging import clear_staged
 
 STAGES = ("preprocess", "discovery", "discretize", "encoding", "policy")
 
@@ -46,9 +48,10 @@ class Run:
         attributes: Sequence[str] | None = None,
         control_flow: Sequence[str] = (),
         bucket_of: Column | None = None,
+        encoding: Mapping[str, str] | None = None,
     ) -> None:
         log = self.read("log")
-        model = discover(log, self.spec, attributes, kind, k, control_flow, bucket_of)
+        model = discover(log, self.spec, attributes, kind, k, control_flow, bucket_of, encoding=encoding)
         self.write(model.contract(), "mdp/transitions")
         self.write(model.actions, "mdp/actions")
         spec = self.spec
@@ -101,8 +104,21 @@ def run_all(
     bins: int = 3,
     bonus: float = 10.0,
     attributes: Sequence[str] | None = None,
+    control_flow: Sequence[str] = (),
+    bucket_column: str | None = None,
+    exclude: Iterable[str] = (),
+    encoding: Mapping[str, str] | None = None,
+    clear: bool = False,
+    **encode_options,
 ) -> DataFrame:
-    """All stages but the skipped ones; returns the policy."""
+    """All stages but the skipped ones; returns the policy.
+
+    ``bucket_column`` is the state attribute of the kind ``bucket``; ``exclude``
+    names columns that are not discretized; ``encoding`` is the role of each
+    category in k-means; ``encode_options`` go to
+    :func:`eventloom.operators.encode.encode`. With ``clear`` all staged tables
+    of the session are deleted at the end.
+    """
     skip = set(skip)
     unknown = skip - set(STAGES)
     if unknown:
@@ -113,11 +129,14 @@ def run_all(
             raise ValueError("a raw log is needed unless preprocess is skipped")
         run.preprocess(raw)
     if "discovery" not in skip:
-        run.discovery(kind, k, attributes)
+        bucket_of = F.col("state_key")[bucket_column] if bucket_column else None
+        run.discovery(kind, k, attributes, control_flow, bucket_of, encoding)
     if "discretize" not in skip:
-        run.discretize(bins)
+        run.discretize(bins, exclude)
     if "encoding" not in skip:
-        run.encoding(initial, bonus)
+        run.encoding(initial, bonus, **encode_options)
     if "policy" not in skip:
         run.policy(horizon, discount)
+    if clear:
+        clear_staged(spark)
     return run.read("policy")

@@ -1,8 +1,10 @@
 """XES event logs as event tables.
 
 A log is ``log > trace > event``; traces and events hold typed attributes with
-a key and a value. A trace is one XML element and is read as a whole; logs are
-converted once and kept as Parquet.
+a key and a value. The file is read as text that ends at each ``</trace>``, so
+plain files are split into as many tasks as their size calls for (gzip files are
+not); a trace is one XML element and is parsed as a whole. Attributes within
+attributes, lists and the defaults of ``<global>`` are not read.
 """
 
 from __future__ import annotations
@@ -14,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.spec import LogSpec
+from eventloom.staging import stage
 
 # Attribute elements of the format and the column types they become
-TYPES = {"string": "string", "date": "timestamp", "float": "double", "int": "bigint", "boolean": "boolean"}
+TYPES = {"string": "string", "date": "timestamp", "float": "double", "int": "bigint", "boolean": "boolean", "id": "string"}
 
+TRACE_END = "</trace>"
 _PAIRS = T.ArrayType(T.StructType([T.StructField("_key", T.StringType()), T.StructField("_value", T.StringType())]))
 _ATTRIBUTES = [T.StructField(t, _PAIRS) for t in TYPES]
 TRACE_SCHEMA = T.StructType([*_ATTRIBUTES, T.StructField("event", T.ArrayType(T.StructType(_ATTRIBUTES)))])
@@ -25,7 +29,12 @@ TRACE_SCHEMA = T.StructType([*_ATTRIBUTES, T.StructField("event", T.ArrayType(T.
 
 def read_traces(spark: SparkSession, path: str) -> DataFrame:
     """One row per trace with its raw attributes; ``.gz`` files are unpacked on the way."""
-    return spark.read.format("xml").option("rowTag", "trace").schema(TRACE_SCHEMA).load(path)
+    pieces = spark.read.option("lineSep", TRACE_END).text(path)
+    # what stands before the first trace, and after the last one, is no trace
+    begun = F.regexp_extract("value", r"(?s)(<trace[\s>].*)$", 1)
+    traces = pieces.select(begun.alias("trace")).where("trace <> ''")
+    parsed = F.from_xml(F.concat("trace", F.lit(TRACE_END)), TRACE_SCHEMA)
+    return traces.select(parsed.alias("trace")).select("trace.*")
 
 
 def _value(holder: str, key: str, kinds: Sequence[str]) -> Column:
@@ -49,9 +58,12 @@ def read_xes(
     case_attributes: Mapping[str, str | Sequence[str]],
     event_attributes: Mapping[str, str | Sequence[str]],
     sequence: str = "seq",
+    traces: DataFrame | None = None,
 ) -> DataFrame:
     """One row per event; trace attributes get the prefix ``case:``.
 
+    ``traces`` are those of :func:`read_traces` if they were read already.
+
     The mappings name the wanted attributes and their types (string, date,
     float, int, boolean; several where an attribute occurs with several). ``sequence`` is the position of the event in its trace.
     """
@@ -60,15 +72,16 @@ def read_xes(
     for name, found in (*kinds.items(), *own_kinds.items()):
         if not set(found) <= set(TYPES):
             raise ValueError(f"attribute {name!r} has an unknown type in {found}")
-    events = read_traces(spark, path).select("*", F.posexplode("event").alias("__at", "__event"))
+    traces = read_traces(spark, path) if traces is None else traces
+    events = traces.select("*", F.posexplode("event").alias("__at", "__event"))
     cases = [_value("", k, t).alias(f"case:{k}") for k, t in kinds.items()]
     own = [_value("__event.", k, t).alias(k) for k, t in own_kinds.items()]
     return events.select(*cases, *own, F.col("__at").cast("long").alias(sequence))
 
 
-def list_attributes(spark: SparkSession, path: str) -> DataFrame:
+def list_attributes(spark: SparkSession, path: str, traces: DataFrame | None = None) -> DataFrame:
     """(level, type, key, n): which attributes a log has."""
-    traces = read_traces(spark, path)
+    traces = read_traces(spark, path) if traces is None else traces
     events = traces.select(F.explode("event").alias("e"))
 
     def named(holder: str, kind: str) -> Column:
@@ -83,10 +96,10 @@ def list_attributes(spark: SparkSession, path: str) -> DataFrame:
     return both.groupBy("level", "type", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def attribute_types(spark: SparkSession, path: str) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+def attribute_types(spark: SparkSession, path: str, traces: DataFrame | None = None) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
     """Types of the case and of the event attributes: one row per attribute name is collected."""
     levels: dict[str, dict[str, list[str]]] = {"case": {}, "event": {}}
-    for row in list_attributes(spark, path).orderBy("level", "key", "type").collect():
+    for row in list_attributes(spark, path, traces).orderBy("level", "key", "type").collect():
         levels[row["level"]].setdefault(row["key"], []).append(row["type"])
     return levels["case"], levels["event"]
 
@@ -94,6 +107,9 @@ def attribute_types(spark: SparkSession, path: str) -> tuple[dict[str, list[str]
 def read_log(spark: SparkSession, path: str, spec: LogSpec) -> DataFrame:
     """The attributes that ``spec`` names, or all that the log has."""
     case, event = spec.xes_case_attributes, spec.xes_event_attributes
+    traces = None
     if not event:
-        case, event = attribute_types(spark, path)
-    return read_xes(spark, path, case, event, spec.sequence)
+        # parsed once, for the list of attributes and for the events
+        traces = stage(read_traces(spark, path), "traces")
+        case, event = attribute_types(spark, path, traces)
+    return read_xes(spark, path, case, event, spec.sequence, traces)

@@ -29,9 +29,21 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def staged_dir(spark: SparkSession) -> str:
+    """The folder of the session's staged tables."""
+    return f"{shared_dir(spark)}/eventloom/{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete all staged tables of the session; nothing that was read from them can be used any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(staged_dir(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/eventloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{staged_dir(spark)}/{name}-{uuid.uuid4().hex}"
     (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

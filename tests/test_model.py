@@ -174,3 +174,16 @@ def test_terminal_activities_cut_cases(spark, log):
         model.unabstracted.where("state_key.last_action = 'a'").select("state"), "state"
     )
     assert {r["action"] for r in after.collect()} == {"archive_application"}
+
+
+def test_structural_classes_are_exact_when_fingerprints_collide(spark):
+    from pyspark.sql import functions as F
+
+    from eventloom.operators import abstraction
+
+    rows = [(0, "a", 1), (0, "b", 2), (1, "a", 1), (1, "c", 2), (2, "a", 1), (2, "b", 2), (3, None, -1), (4, "d", -1), (5, "a", 1), (5, "c", 2)]
+    numbered = spark.createDataFrame(rows, "state long, action string, next_state long")
+    want = {0: 0, 2: 0, 1: 1, 5: 1, 3: 2, 4: 3}
+    for fingerprint in (abstraction.outcome_fingerprint, lambda salt: F.lit(0)):
+        got = {r["state"]: r["abstract_state"] for r in abstraction.structural(numbered, fingerprint).collect()}
+        assert got == want

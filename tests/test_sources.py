@@ -187,3 +187,28 @@ def test_run_with_clusters(spark, fines, tmp_path):
         initial=0, horizon=2,
     )
     assert table.count() > 0
+
+
+def test_xes_is_split_between_traces(spark, tmp_path):
+    path = str(tmp_path / "many.xes")
+    traces = [
+        f'<trace>\n<id key="identity:id" value="u{i}"/><string key="concept:name" value="c{i}"/>' + "".join(f'<event><int key="n" value="{j}"/></event>' for j in range(i % 7)) + "</trace>"
+        for i in range(3000)
+    ]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('<?xml version="1.0"?>\n<log>\n<global scope="trace"><string key="concept:name" value=""/></global>\n' + "\n".join(traces) + "\n</log>\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        wanted = None
+        # borders fall into all places of the closing tag
+        for size in ("128m", "20000", "20003", "20007"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            log = xes.read_xes(spark, path, {"concept:name": "string", "identity:id": "id"}, {"n": "int"})
+            rows = sorted(tuple(r) for r in log.collect())
+            assert log.rdd.getNumPartitions() == 1 if size == "128m" else log.rdd.getNumPartitions() > 3
+            wanted = wanted or rows
+            assert rows == wanted
+        assert len(rows) == sum(i % 7 for i in range(3000))
+        assert rows[0][1] == "u" + rows[0][0][1:]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
