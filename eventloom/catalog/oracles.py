@@ -241,6 +241,44 @@ FROM log WINDOW w AS (PARTITION BY case_id ORDER BY ts, seq ROWS BETWEEN UNBOUND
 SELECT seq, CASE WHEN count(*) OVER (PARTITION BY slot) >= 10 THEN slot ELSE 'other' END AS slot,
        CASE WHEN count(*) OVER (PARTITION BY resource) >= 10 THEN resource ELSE 'other' END AS resource
 FROM (SELECT seq, {SLOT} AS slot, coalesce(resource, 'missing') AS resource FROM log)"""
+    ),
+    "preprocessed_log": over_log(
+        f"""
+SELECT f.case_id, f.seq, activity,
+       CASE WHEN count(*) OVER (PARTITION BY slot) >= 10 THEN slot ELSE 'other' END AS slot,
+       CASE WHEN count(*) OVER (PARTITION BY busy) >= 10 THEN busy ELSE 'other' END AS busy,
+       CASE WHEN count(*) OVER (PARTITION BY segment) >= 10 THEN segment ELSE 'other' END AS segment,
+       timesincelastevent, timesincecasestart, remaining_time_minutes, execution_time_minutes,
+       round(value, 6) AS value, round(CAST(k AS DOUBLE), 6) AS k, event_nr,
+       hour(ts) * 60 + minute(ts) AS timesincemidnight, month(ts) AS month, isodow(ts) - 1 AS weekday, hour(ts) AS hour, open_cases
+FROM filled f JOIN opened o ON o.seq = f.seq""",
+        f"""
+raw AS (
+  SELECT CASE WHEN k % 17 = 0 THEN 'missing_caseid' ELSE case_id END AS case_id, seq, activity, ts,
+         CASE WHEN k % 3 <> 0 THEN value END AS value, k, segment, CASE WHEN k % 5 <> 0 THEN k > 49 END AS busy, {SLOT} AS slot
+  FROM log
+)""",
+        """
+kept AS (SELECT * FROM raw WHERE case_id IN (SELECT case_id FROM raw WHERE activity IN ('purchase', 'signup')))""",
+        f"""
+filled AS (
+  SELECT case_id, seq, activity, ts, slot, coalesce(segment, 'missing') AS segment, k,
+         coalesce(last_value(value IGNORE NULLS) OVER r, 0.0) AS value,
+         CASE last_value(busy IGNORE NULLS) OVER r WHEN true THEN 'True' WHEN false THEN 'False' ELSE 'missing' END AS busy,
+         round(coalesce({minutes("lag(ts) OVER w", "ts")}, 0), 6) AS timesincelastevent,
+         round({minutes("min(ts) OVER g", "ts")}, 6) AS timesincecasestart,
+         round({minutes("ts", "max(ts) OVER g")}, 6) AS remaining_time_minutes,
+         round({minutes("min(ts) OVER g", "max(ts) OVER g")}, 6) AS execution_time_minutes,
+         row_number() OVER w AS event_nr
+  FROM kept WINDOW w AS (PARTITION BY case_id ORDER BY ts, seq), g AS (PARTITION BY case_id),
+       r AS (PARTITION BY case_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)""",
+        """
+opened AS (
+  SELECT e.seq, count(c.case_id) AS open_cases
+  FROM kept e LEFT JOIN (SELECT case_id, min(ts) AS a, max(ts) AS b FROM kept GROUP BY case_id) c ON c.a <= e.ts AND e.ts < c.b
+  GROUP BY e.seq
+)""",
     ),
     "complete_cases": over_log(
         """

@@ -16,12 +16,14 @@ from eventloom.catalog.log import (
     described,
     level_model,
     load_log,
+    raw_log,
     position_model,
 )
 from eventloom.functions import missing as m
 from eventloom.functions.bins import fixed_bins
 from eventloom.functions.names import category_label, sanitize_name
 from eventloom.operators import abstraction, clean, encode, mdp, policy, temporal, transform
+from eventloom.plans.preprocess import preprocess
 from eventloom.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +142,27 @@ def rare_to_other(spark, sf_dir):
     return clean.group_rare_values(log, ["slot", "resource"], frequent)
 
 
+@query
+def preprocessed_log(spark, sf_dir):
+    """The whole preprocessing, over a log with gaps, lost case ids, a boolean and rare values."""
+    k = F.col("k")
+    gaps = {
+        "case:concept:name": F.when(k % 17 != 0, F.col("case:concept:name")),
+        "value": F.when(k % 3 != 0, F.col("value")),
+        "busy": F.when(k % 5 != 0, k > 49),
+        "slot": F.concat_ws("-", k.cast("string"), F.hour("time:timestamp").cast("string")),
+    }
+    spec = SPEC.with_(
+        dynamic_categorical=("activity", "slot", "busy"),
+        complete_with=("purchase", "signup"),
+        with_open_cases=True,
+        boolean_text=("busy",),
+    )
+    log = preprocess(raw_log(spark, sf_dir).withColumns(gaps), spec)
+    features = map(r6, (*temporal.FEATURES[:3], "execution_time_minutes", "value", "k"))
+    return log.select("case_id", "seq", "activity", "slot", "busy", "segment", *features, "event_nr", "timesincemidnight", "month", "weekday", "hour", "open_cases")
+
+
 @query
 def complete_cases(spark, sf_dir):
     kept = clean.keep_complete_cases(load_log(spark, sf_dir), SPEC, ["purchase", "signup"])
