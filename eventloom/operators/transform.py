@@ -172,20 +172,18 @@ def quantiles(df: DataFrame, names: Sequence[str], levels: Sequence[float]) -> D
     return picked.select("attribute", "distinct_values", F.array(*edges).alias("edges"))
 
 
-def _rounded(x: float, digits: int) -> float:
-    """``digits`` decimals, or significant digits for numbers below 1."""
-    if x == 0 or not math.isfinite(x):
-        return x
-    return round(x, digits if abs(x) >= 1 else digits - 1 - math.floor(math.log10(abs(x))))
-
-
 def interval_labels(edges: Sequence[float]) -> list[str]:
-    """``(a, b]`` texts with at least three decimals, more where edges would coincide."""
-    digits = next((d for d in range(3, 20) if len({_rounded(e, d) for e in edges}) == len(edges)), 3)
-    shown = [_rounded(e, digits) for e in edges]
-    # the lowest value belongs to the first bin
-    shown[0] -= 10.0**-digits
-    return [f"({a}, {b}]" for a, b in zip(shown, shown[1:])]
+    """``(a, b]`` texts of the bins between ``edges``, which ascend.
+
+    Edges are shown with the fewest decimals, at least three, that keep them
+    apart. The first one is shown one unit of the last decimal lower, as the
+    lowest value belongs to the first bin.
+    """
+    decimals = 3
+    while decimals < 17 and len({round(e, decimals) for e in edges}) < len(edges):
+        decimals += 1
+    shown = [round(edges[0] - 10.0**-decimals, decimals), *(round(e, decimals) for e in edges[1:])]
+    return [f"({low}, {high}]" for low, high in zip(shown, shown[1:])]
 
 
 @dataclass(frozen=True)

@@ -61,6 +61,16 @@ def preprocess(raw: DataFrame, spec: LogSpec) -> DataFrame:
     return group_rare(log, spec)
 
 
+def label_outcomes(log: DataFrame, spec: LogSpec, cut: bool = False) -> DataFrame:
+    """A preprocessed log with the outcome of each case: whether ``spec.label_activity`` occurs in it.
+
+    With ``cut`` only the events before its first occurrence are kept.
+    """
+    if spec.label_activity is None:
+        raise ValueError("the specification names no label_activity")
+    return clean.label_cases(log, spec, spec.label_activity, cut)
+
+
 def fill_missing(log: DataFrame, spec: LogSpec) -> DataFrame:
     """Categories: ``missing`` for null; numbers: 0 for null or unparseable."""
     log = clean.boolean_to_text(log, spec.boolean_text, spec.missing_value)

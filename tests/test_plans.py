@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from eventloom.operators import clean, temporal
-from eventloom.operators.scan import unsplit
+from eventloom.operators.scan import dense_index, unsplit
+from eventloom.plans.discovery import discover
 from eventloom.plans.preprocess import preprocess
 from eventloom.spec import LogSpec
 
@@ -56,3 +57,30 @@ def test_preprocess_runs_without_python_evaluation(spark, tmp_path):
     text = plan_of(out)
     assert "Python" not in text and "NestedLoop" not in text
     assert out.count() == written_log(spark, str(tmp_path / "again")).where("activity IN ('a0', 'a1', 'a2')").count()
+
+
+def test_split_scans_compare_no_pairs(spark, tmp_path, split_everything):
+    log = written_log(spark, str(tmp_path / "log"))
+    opened = temporal.with_open_cases(log, LogSpec())
+    numbered = dense_index(log, ["seq"], "number")
+    for out in (opened, numbered):
+        text = plan_of(out)
+        assert "NestedLoop" not in text and "Cartesian" not in text
+    assert [r["number"] for r in numbered.orderBy("seq").collect()] == list(range(50))
+
+
+def test_descriptions_are_counted_before_the_join(spark, tmp_path):
+    log = written_log(spark, str(tmp_path / "log"))
+    model = discover(log, LogSpec(dynamic_categorical=("activity",), dynamic_numeric=("x",)), ["activity"])
+    text = plan_of(model.describe(["activity"], ["x"]))
+    scan = text.rindex("Join")
+    # in the printed plan what runs first stands below the join
+    assert "partial_count" in text[scan:]
+    assert "wide" not in model.steps.columns
+
+
+def test_rare_values_of_short_columns_are_not_joined(spark, tmp_path):
+    log = written_log(spark, str(tmp_path / "log"))
+    frequent = clean.frequent_values(log, ["activity", "case_id"], 8)
+    grouped = clean.group_rare_values(log, ["activity", "case_id"], frequent)
+    assert "Join" not in plan_of(grouped)

@@ -1,15 +1,17 @@
 """Readers and writers, and whole runs from a log file to a policy."""
 
 import gzip
+from pathlib import Path
 
 import pytest
 
 from eventloom import __main__ as cli
 from eventloom.operators import encode
 from eventloom.plans.pipeline import Run, run_all
-from eventloom.plans.preprocess import preprocess
+from eventloom.plans.preprocess import label_outcomes, preprocess
 from eventloom.presets import PRESETS
 from eventloom.sources import delimited, xes
+from eventloom.staging import clear_staged, stage, staged_dir
 
 # (case, amount, [(activity, minute, resource, expense)])
 FINES = [
@@ -181,6 +183,24 @@ def test_run_all_and_skipping(spark, fines, tmp_path):
         run_all(spark, PRESETS["rtf"], out, skip=["planning"])
 
 
+def test_outcome_labels_of_a_preset(spark, fines):
+    spec = PRESETS["rtf"].with_(rare_threshold=1)
+    log = preprocess(xes.read_log(spark, fines, spec), spec)
+    found = {r["Case ID"]: r["label"] for r in label_outcomes(log, spec).collect()}
+    assert found["A3"] == "deviant" and found["A1"] == "regular"
+    assert label_outcomes(log, spec, cut=True).count() == log.count() - 1
+    with pytest.raises(ValueError, match="label_activity"):
+        label_outcomes(log, PRESETS["sepsis"])
+
+
+def test_staged_tables_are_cleared(spark):
+    stage(spark.range(3), "numbers")
+    folder = Path(staged_dir(spark).removeprefix("file:"))
+    assert list(folder.glob("numbers-*/*.parquet"))
+    clear_staged(spark)
+    assert not folder.exists()
+
+
 def test_run_with_clusters(spark, fines, tmp_path):
     table = run_all(
         spark, PRESETS["rtf"], str(tmp_path / "run"), xes.read_log(spark, fines, PRESETS["rtf"]), kind="partial_k_means", k=2,

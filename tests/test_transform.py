@@ -41,7 +41,7 @@ def test_discretize_equals_qcut(spark, bins):
                 cut = pd.qcut(known, bins, labels=False if labels is None else labels, duplicates="drop")
                 edges = pd.qcut(known, bins, labels=False, duplicates="drop", retbins=True)[1] if labels is None else None
                 if labels is None and len(edges) - 1 == bins:
-                    texts = [str(c) for c in pd.qcut(known, bins, duplicates="drop").cat.categories]
+                    texts = transform.interval_labels(list(edges))
                     expected = [texts[int(c)] if not pd.isna(c) else None for c in cut]
                 elif labels is not None:
                     expected = [c if isinstance(c, str) else None for c in cut]
@@ -133,3 +133,9 @@ def test_weighted_scaling_equals_that_of_the_rows(spark):
     log = states.selectExpr("x", "explode(sequence(1, cast(visits as int))) as i")
     weighted = transform.Standardizer.fit(states, ["x"], "visits").moments["x"]
     assert np.allclose(weighted, transform.Standardizer.fit(log, ["x"]).moments["x"])
+
+
+def test_interval_labels():
+    assert transform.interval_labels([0.0, 1.5, 2.25, 10.0]) == ["(-0.001, 1.5]", "(1.5, 2.25]", "(2.25, 10.0]"]
+    assert transform.interval_labels([1.0, 1.0002, 1.0004, 1.0005]) == ["(0.9999, 1.0002]", "(1.0002, 1.0004]", "(1.0004, 1.0005]"]
+    assert transform.interval_labels([12.3456, 20.0]) == ["(12.345, 20.0]"]
