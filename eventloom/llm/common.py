@@ -14,6 +14,21 @@ from pyspark.sql import functions as F
 MERGE_GROUPS = 16
 
 
+#: Rows in one batch for a Python worker.
+BATCH_ROWS = 500
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends texts to Python workers in batches of few rows.
+
+    Texts may be long, and a worker holds a batch as a whole, with its copies.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def fold(column: str, modulus: int) -> Column:
     """The fold of a row: CRC-32 of its id as text, modulo ``modulus``; null ids are in fold 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(0))

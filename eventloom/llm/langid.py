@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import fold, sampled, sum_over_partitions
+from eventloom.llm.common import fold, sampled, small_batches, sum_over_partitions
 from eventloom.staging import stage
 
 BUCKETS = 1 << 15
@@ -139,7 +139,7 @@ def fit_language(docs: DataFrame, per_language: int = 800, seed: int = 11) -> La
     ``per_language`` bounds the expected rows of a language in the sample for
     the weights; the document frequencies are those of all rows.
     """
-    rows = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and text <> ''")
+    rows = small_batches(docs).select("doc_id", "text", "lang").where("lang is not null and text is not null and text <> ''")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros(BUCKETS + 1)
@@ -194,7 +194,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text")
     ``und`` and 0 where the text is null or has no letter, or where the model
     has learned no language.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
     def predicted(column: pd.Series) -> pd.DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.common import texts
+from eventloom.llm.common import small_batches, texts
 from eventloom.llm.components import components
 from eventloom.staging import stage
 
@@ -119,7 +119,7 @@ def described(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()), "key": pa.array(keys, pa.binary()), "bands": pa.array(bands, pa.list_(pa.int64()))})
 
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    return stage(docs.select("doc_id", "text").mapInArrow(sketched, schema), "sketches")
+    return stage(small_batches(docs).select("doc_id", "text").mapInArrow(sketched, schema), "sketches")
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -27,10 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from eventloom.llm.common import small_batches
+
 #: Open windows that a task holds at most; beyond it they fill each other early.
 MAX_OPEN = 8192
 #: Words whose ids a worker remembers.
-MAX_WORDS = 400_000
+MAX_WORDS = 150_000
 
 _SPACES = re.compile(r"\s\s")
 _SPECIAL = "<|endoftext|>"
@@ -228,4 +230,4 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc", kind)] + [T.StructField(n, T.BinaryType() if n == "ids" else T.LongType()) for n in ("start", "length", "ids", "doc_tokens", "sequence_id", "offset")])
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(pack, schema).withColumnRenamed("doc", id_col)
+    return small_batches(docs).select(docs[id_col], docs[text_col]).mapInArrow(pack, schema).withColumnRenamed("doc", id_col)

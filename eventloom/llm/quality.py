@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import fold, sum_over_partitions
+from eventloom.llm.common import fold, small_batches, sum_over_partitions
 from eventloom.staging import stage
 
 #: Bins of the score histogram that the calibration is fitted on.
@@ -85,7 +85,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", into: str = "statis
     def described(column: pd.Series) -> pd.Series:
         return pd.Series([statistics(t or "") for t in column])
 
-    return docs.withColumn(into, described(docs[text_col]))
+    return small_batches(docs).withColumn(into, described(docs[text_col]))
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,8 @@ class QualityModel:
         return self.features(statistics_) @ self.weights
 
     def score(self, statistics_: np.ndarray) -> np.ndarray:
-        return np.interp(self.raw(statistics_), self.knots, self.values)
+        # products of matrices depend on the rows beside a row in the last bits
+        return np.interp(np.round(self.raw(statistics_), 9), self.knots, self.values).round(9)
 
 
 def fourier(x: np.ndarray, mean: np.ndarray, scale: np.ndarray, frequencies: np.ndarray, phases: np.ndarray) -> np.ndarray:
