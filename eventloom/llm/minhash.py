@@ -21,7 +21,9 @@ link of x and y needs an intersection of t / (1 + t) times both sizes (t is the
 least similarity); as x is short of that with p, x and y must agree in more than
 (lost + t * new) / (1 + t) of the differences of y from p. So it is enough to
 look up the other, rarest differences of y (a prefix filter) among all
-differences of the members without a link to p. Nearly all differences of copies
+differences of the members without a link to p; if y has no link to p either,
+the same holds the other way round, and the rarest differences of both are
+enough. Nearly all differences of copies
 are their own, so large groups cost time in proportion to their size; still no
 candidate is dropped, and each comparison uses the full sets.
 """
@@ -200,8 +202,11 @@ def _pairs_across(pairs: DataFrame, links: DataFrame, docs: DataFrame, percent:
     counts = stage(differing.groupBy(key).agg(F.count(F.lit(1)).alias("times"), (F.min("component") < F.max("component")).alias("across")), "difference-counts")
     rarest = Window.partitionBy("p", "id").orderBy("times", "shingle", "lost")
     ranked = differing.join(counts, key).withColumn("rank", F.row_number().over(rarest))
-    prefix = ranked.where("across and rank <= others").select(*key, "id", "n", "component")
-    whole = differing.where("not linked").select(*key, F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"))
+    ranked = stage(ranked.where("across").select(*key, "id", "n", "component", "linked", (F.col("rank") <= F.col("others")).alias("rare")), "shared-differences")
+    prefix = ranked.where("rare").drop("rare")
+    whole = ranked.where("not linked").select(*key, F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("rare").alias("other_rare"))
     close = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    met = stage(prefix, "rarest-differences").join(whole, key).where((F.col("component") != F.col("other_component")) & close)
+    # of two members without a link each pair comes once
+    once = F.col("linked") | (F.col("other_rare") & (F.col("id") < F.col("other")))
+    met = prefix.join(whole, key).where((F.col("component") != F.col("other_component")) & close & once)
     return stage(met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "pairs")
