@@ -10,6 +10,7 @@ from eventloom.operators.scan import GroupMax, GroupMin, Previous, RowNumber, Ru
 from eventloom.operators.scan import find_splits, ordered_scan
 from eventloom.spec import LogSpec, col
 
+# Names of the temporal features
 FEATURES = ("timesincelastevent", "timesincecasestart", "remaining_time_minutes", "event_nr")
 
 

@@ -127,7 +127,7 @@ def from_one_hot(df: DataFrame, name: str, values: Sequence[str]) -> Column:
 
 # --- quantile bins -----------------------------------------------------------------
 
-#: labels of three bins
+# Labels of three bins
 THREE = ("low", "medium", "high")
 
 

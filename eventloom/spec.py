@@ -44,6 +44,7 @@ class LogSpec:
 
     # cleaning
     complete_with: tuple[str, ...] = ()
+    # fixed values: texts that stand for lost case ids and missing categories
     missing_case: str = "missing_caseid"
     missing_value: str = "missing"
     normalize_spellings: bool = False
@@ -58,6 +59,7 @@ class LogSpec:
     # labelling and decision model
     label_activity: str | None = None
     terminal_activities: tuple[str, ...] = ()
+    # fixed values: names of the added first and last action
     start_action: str = "start"
     end_action: str = "archive_application"
 
