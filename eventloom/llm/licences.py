@@ -1,10 +1,15 @@
 """Licence scans: TF-IDF cosine of headers to templates, then inheritance by folder.
 
-Lines, blocks (lines up to a blank one) and whole texts that hold a licence word
-are compared with templates: words are weighted by their inverse frequency over
-the templates, and a passage has the licence of the most similar template, if
-the cosine is high enough. Vectors are sparse rows (passage, word, count); the
-only broadcast is the templates' words, a constant of the library or the caller.
+Lines, blocks (lines up to a blank one) and whole texts are compared with
+templates: words are weighted by their inverse frequency over the templates, and
+a passage has the licence of the most similar template, if the cosine is high
+enough. Vectors are sparse rows (passage, word, count); the only broadcast is the
+templates' words, a constant of the library or the caller.
+
+Passages that cannot be similar enough are left out beforehand. Without the words
+of a set, the cosine to a template is at most the norm of the template's other
+weights (Cauchy-Schwarz). A set that brings this norm below the least cosine is
+one that each similar passage meets, so nothing is lost.
 
 A file in a folder named as a licence file states the licence of the folder. A
 file without a licence of its own takes it from the nearest folder above it: the
@@ -34,10 +39,12 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("proprietary", "All rights reserved."),
 )
-#: Passages without any of these are not compared.
+#: Only the SQL statement of the query picks its passages by these; the scan does not.
 LICENCE_WORDS = ("license", "licence", "licensed", "licenced", "redistribution", "reserved", "copyright")
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)(\.[^/]*)?$"
 LEAST = 0.75
+#: Frequent in texts without a licence, so they pick passages only if other words do not suffice; without effect on results.
+FREQUENT = frozenset("a all an and any are as at be by can for if in is it its may mit no not of on or that the this to under use was with you your 0 1 2 3 4".split())
 
 
 def _tokens(text: str) -> list[str]:
@@ -56,6 +63,49 @@ def template_terms(templates=TEMPLATES) -> tuple[list[tuple[str, str, float, flo
     return rows, math.log(1 + len(bags)) + 1
 
 
+def _cover(squares: dict[str, float], least: float, without: frozenset[str] = frozenset(), frequent: frozenset[str] = FREQUENT) -> frozenset[str] | None:
+    """Words of a template (word to squared weight, 1 in sum) that each passage of cosine ``least`` meets; None if those outside ``without`` do not suffice."""
+    # similarities are rounded to six decimals
+    most, left, chosen = max(least - 1e-6, 0.0) ** 2, 1.0, []
+    for w in sorted(squares.keys() - without, key=lambda w: (w in frequent, -squares[w], w)):
+        if left < most - 1e-9:
+            break
+        chosen.append(w)
+        left -= squares[w]
+    # a passage without any word of the template has no cosine
+    return frozenset(chosen) if left < most - 1e-9 or not without else None
+
+
+def candidate_words(vectors: list[dict[str, float]], least: float) -> list[tuple[frozenset[str], ...]]:
+    """Word sets, of which a passage of cosine ``least`` to any vector meets all those of one entry.
+
+    A template whose set needs a frequent word has a second set of its other words.
+    """
+    alone, pairs = set(), set()
+    for vector in vectors:
+        squares = {w: x * x for w, x in vector.items()}
+        words = _cover(squares, least)
+        if words & FREQUENT:
+            words = _cover(squares, least, frequent=frozenset())
+            other = _cover(squares, least, without=words)
+            if other:
+                pairs.add((words, other))
+                continue
+        alone |= words
+    return ([(frozenset(alone),)] if alone else []) + sorted((p for p in pairs if not any(w <= alone for w in p)), key=lambda p: [sorted(w) for w in p])
+
+
+def may_state(text: Column, candidates: list[tuple[frozenset[str], ...]]) -> Column:
+    """True for the texts that meet all word sets of an entry."""
+    held = F.lit(False)
+    for sets in candidates:
+        met = F.lit(True)
+        for words in sets:
+            met = met & text.rlike("(?i)(^|[^a-z0-9])(" + "|".join(sorted(words)) + ")([^a-z0-9]|$)")
+        held = held | met
+    return held
+
+
 def words_of(text: Column) -> Column:
     lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return F.array_remove(F.split(lowered, "[^a-z0-9]+"), "")
@@ -68,11 +118,14 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     """
     spark = files.sparkSession
     terms, unknown = template_terms(templates)
-    holds = "(?i)(^|[^a-z0-9])(" + "|".join(LICENCE_WORDS) + ")([^a-z0-9]|$)"
+    vectors: dict[str, dict[str, float]] = {}
+    for word, name, weight, _ in terms:
+        vectors.setdefault(name, {})[word] = weight
+    candidates = candidate_words(list(vectors.values()), least)
     text = F.col("text")
-    told = files.where(F.col("file_id").isNotNull() & text.isNotNull() & text.rlike(holds)).select("file_id", "text")
+    told = files.where(F.col("file_id").isNotNull() & text.isNotNull() & may_state(text, candidates)).select("file_id", "text")
     passages = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n"), F.array(text)))
-    parts = told.select("file_id", F.posexplode(passages).alias("part", "passage")).where(F.col("passage").rlike(holds))
+    parts = told.select("file_id", F.posexplode(passages).alias("part", "passage")).where(may_state(F.col("passage"), candidates))
     bags = parts.select("file_id", "part", F.explode(words_of(F.col("passage"))).alias("word")).groupBy("file_id", "part", "word").agg(F.count(F.lit(1)).alias("n"))
     weights = spark.createDataFrame(terms, "word string, license string, weight double, idf double")
     idf = weights.groupBy("word").agg(F.first("idf").alias("idf"), F.collect_list(F.struct("license", "weight")).alias("of"))

@@ -165,3 +165,29 @@ def test_licences(spark):
     got = {r.file_id: (r.license, r.origin, r.licensed_folder) for r in result.collect()}
     assert got == {1: ("MIT", "own", None), 2: ("MIT", "folder", "a"), 3: ("Apache-2.0", "own", None), 4: (None, None, None), 5: ("proprietary", "own", None), 6: (None, None, None), 7: ("MIT", "folder", "a"), 8: (None, None, None)}
     assert licences.scan_licences(files.limit(0)).count() == 0
+
+
+def test_licence_candidates_lose_nothing(spark):
+    # no word of the hand-made list; cosines 0.924, 0.899 and 0.879
+    rows = [(1, "x/1", "CC BY-NC 4.0"), (2, "x/2", "text\nCC BY 4.0\ntext"), (3, "x/3", "Released under MIT."), (4, "x/4", "mit der und die"), (5, "x/5", "4 cc")]
+    files = spark.createDataFrame(rows, "file_id long, path string, text string")
+    got = {r.file_id: (r.license, r.similarity) for r in licences.scan_licences(files).collect()}
+    assert {i: name for i, (name, _) in got.items()} == {1: "CC-BY-NC-4.0", 2: "CC-BY-4.0", 3: "MIT", 4: None, 5: None}
+    assert [round(got[i][1], 3) for i in (1, 2, 3)] == [0.924, 0.899, 0.879]
+
+
+@pytest.mark.parametrize("least", [0.3, 0.75, 0.95])
+def test_licence_candidates_against_all_subsets(least):
+    terms, _ = licences.template_terms()
+    vectors = {}
+    for word, name, weight, _ in terms:
+        vectors.setdefault(name, {})[word] = weight
+    candidates = licences.candidate_words(list(vectors.values()), least)
+    for vector in vectors.values():
+        # the most similar passage with given words has the template's weights
+        words = sorted(vector)[:12]
+        rest = set(vector) - set(words)
+        for bits in range(1 << len(words)):
+            held = rest | {w for i, w in enumerate(words) if bits >> i & 1}
+            if sum(vector[w] ** 2 for w in held) ** 0.5 >= least:
+                assert any(all(held & s for s in sets) for sets in candidates)
