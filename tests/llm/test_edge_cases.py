@@ -191,3 +191,46 @@ def test_licence_candidates_against_all_subsets(least):
             held = rest | {w for i, w in enumerate(words) if bits >> i & 1}
             if sum(vector[w] ** 2 for w in held) ** 0.5 >= least:
                 assert any(all(held & s for s in sets) for sets in candidates)
+
+
+LICENCE_TEXTS = [
+    ("MIT", "MIT License\n\nCopyright (c) 2020 A. Person\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software ..."),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy"),
+    ("MIT", "# SPDX-License-Identifier: MIT\nimport os\n"),
+    ("Apache-2.0", "// SPDX-License-Identifier: Apache-2.0\npackage a;\n"),
+    ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS"),
+    ("Apache-2.0", '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0\n'),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE"),
+    ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n"),
+    ("GPL-2.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n"),
+    ("GPL-3.0", " * it under the terms of the GNU General Public License as published by"),
+    ("GPL-2.0", "/* This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License, or\n * (at your option) any later version. */\n"),
+    ("GPL-3.0", "# SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0-only"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n"),
+    ("BSD-2-Clause", "BSD 2-Clause License\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0\n==================================\n"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"),
+    # no statement of a licence
+    *((None, text) for text in ("mit", "MIT der Zeit\nmit\n", "License", "under the License", "GPL", "artistic", "Version 2.0", "public license", "1", "free software", "SPDX-License-Identifier: Other-2.0", "SPDX-License-Identifier: Other-1.0")),
+]
+
+
+def test_usual_licence_files_and_headers(spark):
+    rows = [(i, f"{i}/x", text) for i, (_, text) in enumerate(LICENCE_TEXTS)]
+    found = {r.file_id: r.license for r in licences.scan_licences(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()}
+    assert [(found[i], text) for i, (_, text) in enumerate(LICENCE_TEXTS)] == LICENCE_TEXTS
+
+
+def test_licence_wordings():
+    vectors = licences.wording_vectors(licences.TEMPLATES, licences.WORDINGS)
+    assert max(x for _, weights, _ in vectors for x in weights.values()) < licences.LEAST
+    # each wording is most similar to one of its own licence
+    for name, weights, _ in vectors:
+        alike = sorted((-round(sum(x * other.get(w, 0.0) for w, x in weights.items()), 6), label) for label, other, _ in vectors)
+        assert alike[0][1] == name
