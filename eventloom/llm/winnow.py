@@ -93,7 +93,7 @@ def shared_passages(docs: DataFrame, items: DataFrame, span: int = 10, k: int =
     the item's first one; may be negative) and ``hits``, the positions (from 0)
     of the document's words in shared passages. Rows with a null id or without
     words have none; ids are taken to be unique, and rows that repeat an id with
-    another text are compared one by one.
+    another text are compared one by one, while their passages count for the id.
     """
     known = items.select("item_id", words_of(F.col("text")).alias("words")).where("item_id is not null and size(words) > 0")
     known = stage(known, "benchmark-words")
@@ -122,7 +122,8 @@ def shared_passages(docs: DataFrame, items: DataFrame, span: int = 10, k: int =
     sides = texts.join(per_doc, "doc_id").select("doc_id", text_words.alias("words"), F.explode("at").alias("at")).select("doc_id", "words", "at.item_id", "at.shift")
     both = sides.join(known.select("item_id", F.col("words").alias("item")), "item_id")
     begin = F.greatest(F.lit(0), -F.col("shift"))
-    length = F.least(F.size("item") - begin, F.size("words") - F.col("shift") - begin)
+    # an alignment is tried on all texts of its ids, and may lie beyond a shorter one
+    length = F.greatest(F.lit(0), F.least(F.size("item") - begin, F.size("words") - F.col("shift") - begin))
     compared = both.select("doc_id", "item_id", "shift", begin.alias("begin"), F.size("item").alias("n"), F.slice("item", begin + 1, length).alias("item"), F.slice("words", F.col("shift") + begin + 1, length).alias("doc"))
     marks = F.array_join(F.zip_with("doc", "item", lambda a, b: F.when(a == b, F.lit("1")).otherwise(F.lit("0"))), "")
     # runs of equal words that are long enough keep their marks

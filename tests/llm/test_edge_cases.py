@@ -234,3 +234,14 @@ def test_licence_wordings():
     for name, weights, _ in vectors:
         alike = sorted((-round(sum(x * other.get(w, 0.0) for w, x in weights.items()), 6), label) for label, other, _ in vectors)
         assert alike[0][1] == name
+
+
+def test_decontamination_of_ids_with_a_long_and_a_short_text(spark):
+    passage = " ".join(f"p{i}" for i in range(12))
+    long = " ".join(f"w{i}" for i in range(1000)) + " " + passage
+    docs = spark.createDataFrame([(1, long), (1, "only three words"), (2, passage), (3, passage)], "doc_id long, text string")
+    items = spark.createDataFrame([(10, passage), (11, long), (11, "two words")], "item_id long, text string")
+    # the alignment at word 1000 lies beyond the short text; passages count for the id
+    found = {(r.doc_id, r.item_id, r.shift): r.hits for r in winnow.shared_passages(docs, items).collect()}
+    assert found[1, 10, 1000] == found[1, 11, 0][1000:] == list(range(1000, 1012))
+    assert found[2, 10, 0] == found[3, 11, -1000] == list(range(12))
