@@ -79,6 +79,29 @@ SELECT doc_id, CAST(strlen(text) + 16 AS BIGINT) AS size, text_crc32, 'rows' AS
 FROM cut JOIN crcs USING (doc_id)
 """
 
+# all scores by counting, in 64-bit integers
+RANKED_SEARCH = r"""
+WITH worded AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), sized AS (SELECT doc_id, r, w, CAST(len(w) AS BIGINT) AS n FROM worded WHERE len(w) > 0),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS d, CAST(sum(n) AS BIGINT) AS l FROM sized),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), counts AS (
+  SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM sized) WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(d) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM counts, totals GROUP BY term
+), scored AS (
+  SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term)
+  JOIN (SELECT r, doc_id, 100 - 50 + (50 * n * d) // l AS m FROM sized, totals) USING (r) GROUP BY item_id, doc_id, r
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
 
 def _licences() -> str:
     terms, unknown = template_terms()
@@ -127,4 +150,5 @@ ORACLES = {
     "op4_decontamination": DECONTAMINATION,
     "op5_interleaved_shards": SHARDS,
     "op9_licences": _licences(),
+    "op11_ranked_search": RANKED_SEARCH,
 }

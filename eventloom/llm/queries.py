@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import interleave, langid, licences, minhash, onebit, packing, quality, toxicity, urlfilter, winnow
+from eventloom.llm import fptree, interleave, langid, licences, minhash, onebit, packing, periodic, quality, simhash, toxicity, urlfilter, winnow
 from eventloom.llm.common import fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,19 @@ def op9_licences(spark, sf_dir):
 def op10_packing(spark, sf_dir):
     pieces = packing.pack_documents(read(spark, sf_dir, "documents"), window=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op11_ranked_search(spark, sf_dir):
+    return fptree.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), top=50)
+
+
+@query
+def op12_simhash(spark, sf_dir):
+    return simhash.simhash_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic.periodic_runs(read(spark, sf_dir, "documents"), tail=True)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
