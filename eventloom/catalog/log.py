@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.bins import fixed_bins
-from eventloom.operators import mdp, temporal
+from eventloom.operators import temporal
 from eventloom.operators.scan import Splits, find_splits
+from eventloom.plans.discovery import DecisionModel, discover
 from eventloom.plans.preprocess import canonical
 from eventloom.spec import LogSpec
-from eventloom.staging import stage
 
 SPEC = LogSpec(
     case="case_id",
@@ -71,57 +69,29 @@ def log_splits(log: DataFrame) -> Splits:
     return find_splits(log, [SPEC.case], SPEC.order)
 
 
-class Model:
-    """A discovery over one of the logs, staged table by table."""
-
-    def __init__(self, log: DataFrame, attributes: list[str], reused: tuple[str, ...] = (), splits: Splits | None = None):
-        """``reused`` columns of the log are kept in staged steps, to describe the states."""
-        self.steps = mdp.mdp_steps(log, SPEC, attributes, splits or log_splits(log))
-        if reused:
-            position = (SPEC.case, *SPEC.order, "step", "last_action", "action", "state_key", "next_key")
-            self.steps = stage(self.steps.select(*position, *reused), "steps")
-        self.edges = stage(mdp.count_edges(self.steps, SPEC), "edges")
-
-    @cached_property
-    def states(self) -> DataFrame:
-        return stage(mdp.state_space(self.edges), "states")
-
-    @cached_property
-    def numbered(self) -> DataFrame:
-        return stage(mdp.number_edges(self.edges, self.states), "numbered-edges")
-
-    @cached_property
-    def actions(self) -> DataFrame:
-        return mdp.action_index(self.edges)
-
-    @cached_property
-    def transitions(self) -> DataFrame:
-        return mdp.transition_probabilities(self.numbered, self.actions)
-
-    @cached_property
-    def staged_transitions(self) -> DataFrame:
-        return stage(self.transitions, "transitions")
+def model_of(log: DataFrame, attributes: list[str], keep: tuple[str, ...] = (), **options) -> DecisionModel:
+    """The decision model of one of the logs; its steps keep the columns ``keep``."""
+    return discover(log, SPEC, attributes, keep=keep, **options)
 
 
-def bucket_model(spark: SparkSession, sf_dir: str) -> Model:
+def bucket_model(spark: SparkSession, sf_dir: str) -> DecisionModel:
     """States: last action and value bucket."""
-    return Model(bucket_log(spark, sf_dir), ["bucket"])
+    return model_of(bucket_log(spark, sf_dir), ["bucket"])
 
 
-def position_model(spark: SparkSession, sf_dir: str) -> Model:
+def position_model(spark: SparkSession, sf_dir: str, **options) -> DecisionModel:
     """States: last action, event number and k modulo 10."""
     splits = log_splits(load_log(spark, sf_dir))
-    return Model(position_log(spark, sf_dir, splits), ["event_nr", "k10"], splits=splits)
+    return model_of(position_log(spark, sf_dir, splits), ["event_nr", "k10"], splits=splits, **options)
 
 
-def level_model(spark: SparkSession, sf_dir: str) -> Model:
-    """States: last action and a number in three groups."""
+def level_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with a number in three far groups."""
     level = 1000.0 * (F.col("k") % 3) + F.col("k") % 2
-    return Model(load_log(spark, sf_dir).withColumn("level", level), ["level"])
+    return load_log(spark, sf_dir).withColumn("level", level)
 
 
-def described(spark: SparkSession, sf_dir: str) -> tuple[Model, DataFrame]:
+def described(spark: SparkSession, sf_dir: str) -> tuple[DecisionModel, DataFrame]:
     """The bucket model and its described states, all attributes as text or numbers."""
-    model = Model(bucket_log(spark, sf_dir), ["bucket"], ("segment", "resource", "value", "k"))
-    table = mdp.describe_states(model.steps, model.states, ["segment", "resource"], ["value", "k"])
-    return model, table
+    model = model_of(bucket_log(spark, sf_dir), ["bucket"], ("segment", "resource", "value", "k"))
+    return model, model.describe(["segment", "resource"], ["value", "k"])

@@ -27,8 +27,8 @@ def minutes(a: str, b: str) -> str:
 BUCKET = "CASE WHEN value <= 20.0 THEN 'low' WHEN value <= 50.0 THEN 'medium' ELSE 'high' END"
 
 
-def model_ctes(attributes: dict[str, str], extra: str = "") -> tuple[str, ...]:
-    """Steps, states, numbered edges and transitions; ``attributes`` are expressions over the log."""
+def model_ctes(attributes: dict[str, str], source: str = "log") -> tuple[str, ...]:
+    """Steps, states, numbered edges and transitions; ``attributes`` are expressions over the log ``source``."""
     own = ", ".join(f"{e} AS {n}" for n, e in attributes.items())
     names = ", ".join(attributes)
     lead = ", ".join(f"lead({n}) OVER w AS next_{n}" for n in attributes)
@@ -42,7 +42,7 @@ def model_ctes(attributes: dict[str, str], extra: str = "") -> tuple[str, ...]:
 attributed AS (
   SELECT *, row_number() OVER w AS nr, lead(activity) OVER w AS next_activity,
          lead(activity) OVER w IS NULL AS last
-  FROM log WINDOW w AS (PARTITION BY case_id ORDER BY ts, seq)
+  FROM {source} WINDOW w AS (PARTITION BY case_id ORDER BY ts, seq)
 ),
 events_at AS (SELECT * EXCLUDE (nr, next_activity, last), nr, next_activity, last, {own} FROM attributed),
 following AS (SELECT *, {lead} FROM events_at WINDOW w AS (PARTITION BY case_id ORDER BY ts, seq)),
@@ -192,6 +192,20 @@ CASE_WINDOW = "WINDOW w AS (PARTITION BY case_id ORDER BY ts, seq), g AS (PARTIT
 SLOT = "CAST(k AS VARCHAR) || '-' || CAST(hour(ts) AS VARCHAR)"
 KNOWN = "'UNKNOWN', 'Unknown', 'unknown', 'MISSING', 'Missing', 'missing', 'NaN', 'nan'"
 
+#: Categories, then numbers
+GAP_COLUMNS = ("activity", "slot", "busy", "segment", "value", "k")
+GAPS = (
+    f"""
+raw AS (
+  SELECT CASE WHEN k % 17 = 0 THEN 'missing_caseid' ELSE case_id END AS case_id, seq, activity, ts,
+         CASE WHEN k % 3 <> 0 THEN value END AS value, k, segment, CASE WHEN k % 5 <> 0 THEN k > 49 END AS busy, {SLOT} AS slot
+  FROM log
+)""",
+    """
+kept AS (SELECT * FROM raw WHERE case_id IN (SELECT case_id FROM raw WHERE activity IN ('purchase', 'signup')))""",
+)
+
+
 ORACLES: dict[str, str] = {
     "canonical_log": over_log(
         "SELECT case_id, seq, activity, epoch_us(ts) AS ts_us, value, k, resource, segment FROM log"
@@ -252,14 +266,7 @@ SELECT f.case_id, f.seq, activity,
        round(value, 6) AS value, round(CAST(k AS DOUBLE), 6) AS k, event_nr,
        hour(ts) * 60 + minute(ts) AS timesincemidnight, month(ts) AS month, isodow(ts) - 1 AS weekday, hour(ts) AS hour, open_cases
 FROM filled f JOIN opened o ON o.seq = f.seq""",
-        f"""
-raw AS (
-  SELECT CASE WHEN k % 17 = 0 THEN 'missing_caseid' ELSE case_id END AS case_id, seq, activity, ts,
-         CASE WHEN k % 3 <> 0 THEN value END AS value, k, segment, CASE WHEN k % 5 <> 0 THEN k > 49 END AS busy, {SLOT} AS slot
-  FROM log
-)""",
-        """
-kept AS (SELECT * FROM raw WHERE case_id IN (SELECT case_id FROM raw WHERE activity IN ('purchase', 'signup')))""",
+        *GAPS,
         f"""
 filled AS (
   SELECT case_id, seq, activity, ts, slot, coalesce(segment, 'missing') AS segment, k,
@@ -278,6 +285,23 @@ opened AS (
   SELECT e.seq, count(c.case_id) AS open_cases
   FROM kept e LEFT JOIN (SELECT case_id, min(ts) AS a, max(ts) AS b FROM kept GROUP BY case_id) c ON c.a <= e.ts AND e.ts < c.b
   GROUP BY e.seq
+)""",
+    ),
+    "cleaning_report": over_log(
+        f"""
+SELECT 'read' AS measure, CAST(NULL AS VARCHAR) AS attribute, count(*) AS n FROM raw
+UNION ALL SELECT 'case ids repaired', 'case_id', count(*) FROM raw WHERE case_id = 'missing_caseid'
+UNION ALL SELECT 'dropped, case not complete', NULL, (SELECT count(*) FROM raw) - (SELECT count(*) FROM kept)
+UNION ALL SELECT 'dropped, no timestamp', NULL, count(*) FROM kept WHERE ts IS NULL
+{"".join(f"UNION ALL SELECT 'filled forward', '{c}', count(*) FROM carried WHERE {c} IS NULL AND {c}_last IS NOT NULL " for c in GAP_COLUMNS)}
+{"".join(f"UNION ALL SELECT 'filled with a category', '{c}', count(*) FROM carried WHERE {c}_last IS NULL " for c in GAP_COLUMNS[:4])}
+{"".join(f"UNION ALL SELECT 'filled with a number', '{c}', count(*) FROM carried WHERE {c}_last IS NULL " for c in GAP_COLUMNS[4:])}
+{"".join(f"UNION ALL SELECT 'grouped as rare', '{c}', coalesce(CAST(sum(n) AS BIGINT), 0) FROM (SELECT count(*) AS n FROM carried GROUP BY coalesce(CAST({c}_last AS VARCHAR), 'missing') HAVING count(*) < 10) " for c in GAP_COLUMNS[1:4])}""",
+        *GAPS,
+        f"""
+carried AS (
+  SELECT *, {", ".join(f"last_value({c} IGNORE NULLS) OVER r AS {c}_last" for c in GAP_COLUMNS)}
+  FROM kept WINDOW r AS (PARTITION BY case_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 )""",
     ),
     "complete_cases": over_log(
@@ -477,6 +501,18 @@ FROM fluent_names n LEFT JOIN fluents f ON f.pvar = n.pvar GROUP BY n.pvar""",
         DESCRIBED,
         FLAGGED,
     ),
+    "fluent_support_sets": over_bucket_model(
+        """
+SELECT pvar, state // 32768 AS bucket, count(*) AS n_true, string_agg(CAST(state AS VARCHAR), ',' ORDER BY state) AS states
+FROM fluents GROUP BY pvar, state // 32768""",
+        DESCRIBED,
+        FLAGGED,
+    ),
+    "action_fluents": over_bucket_model(
+        "SELECT action, pvar, count(DISTINCT t.state) AS n FROM transitions t JOIN fluents f ON f.state = t.state GROUP BY action, pvar",
+        DESCRIBED,
+        FLAGGED,
+    ),
     "initial_fluents": over_bucket_model(
         """
 SELECT pvar, pvar IN (SELECT pvar FROM fluents WHERE state = (SELECT min(state) FROM states WHERE initial)) AS value
@@ -551,4 +587,56 @@ SELECT count(*) AS n, min(state) AS smallest, max(state) AS largest, count(DISTI
         ),
         *[policy_step(i) for i in (1, 2, 3)],
     ),
+    "policy_converged": over_bucket_model(
+        """
+SELECT state, action, round(q, 6) AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY state ORDER BY round(q, 7) DESC, action) AS place FROM choices
+) WHERE place = 1""",
+        """
+gains AS (SELECT state, CASE WHEN last_action = 'archive_application' THEN 10.0 ELSE 1.0 END AS reward FROM states),
+rewarded AS (
+  SELECT t.state, t.action, t.next_state, CAST(t.probability AS DOUBLE) AS p, CAST(g.reward AS DOUBLE) AS reward
+  FROM transitions t JOIN gains g ON g.state = t.next_state
+),
+-- value iteration; doing nothing leads to a dead state with a reward of 1 at each step
+iterated AS (
+  SELECT 0 AS step, state, CAST(0 AS DOUBLE) AS value, CAST(0 AS DOUBLE) AS dead FROM states
+  UNION ALL
+  SELECT i.step + 1, i.state, greatest(coalesce(max(a.q), 0.0), 1.0 + 0.3 * i.dead), 1.0 + 0.3 * i.dead
+  FROM iterated i LEFT JOIN (
+    SELECT r.state, r.action, sum(r.p * (r.reward + 0.3 * v.value)) AS q FROM rewarded r JOIN iterated v ON v.state = r.next_state
+    GROUP BY r.state, r.action
+  ) a ON a.state = i.state
+  WHERE i.step < 40 GROUP BY i.step, i.state, i.dead
+),
+limits AS (SELECT state, value, dead FROM iterated WHERE step = 40),
+choices AS (
+  SELECT r.state, r.action, sum(r.p * (r.reward + 0.3 * v.value)) AS q FROM rewarded r JOIN limits v ON v.state = r.next_state
+  GROUP BY r.state, r.action
+  UNION ALL SELECT state, 'noop', 1.0 + 0.3 * dead FROM limits
+)""",
+    ).replace("WITH", "WITH RECURSIVE", 1),
+    "terminal_model": over_log(
+        """
+SELECT a.abstract_state AS state, any_value(i.action_index) AS action_index, n.action, b.abstract_state AS next_state,
+  CAST(sum(n.n) AS BIGINT) AS n,
+  round(sum(n.n) * 1.0 / sum(sum(n.n)) OVER (PARTITION BY a.abstract_state, n.action), 6) AS probability
+FROM numbered n JOIN mapping a ON a.state = n.state JOIN mapping b ON b.state = n.next_state LEFT JOIN actions i ON i.action = n.action
+WHERE n.action IS NOT NULL GROUP BY a.abstract_state, n.action, b.abstract_state""",
+        f"""
+cut_log AS (
+  SELECT * EXCLUDE (nr, cut)
+  FROM (SELECT *, min(CASE WHEN activity IN ('purchase', 'error') THEN nr END) OVER (PARTITION BY case_id) AS cut
+        FROM (SELECT *, row_number() OVER w AS nr FROM log {CASE_WINDOW}))
+  WHERE cut IS NULL OR nr <= cut
+)""",
+        *model_ctes({"bucket": BUCKET}, "cut_log"),
+        mapped("last_action"),
+    ),
+    "infer_timestamps": over_log(
+        """
+SELECT seq, CASE WHEN seq % 97 = 0 THEN NULL WHEN seq % 5 = 0 THEN epoch_us(date_trunc('second', ts)) WHEN seq % 5 = 1 THEN epoch_us(date_trunc('minute', ts))
+  WHEN seq % 5 = 2 THEN epoch_us(date_trunc('second', ts)) WHEN seq % 5 = 3 THEN epoch_us(ts) ELSE epoch_us(date_trunc('day', ts)) END AS ts_us
+FROM log"""
+    ),
 }

@@ -14,16 +14,20 @@ from eventloom.catalog.log import (
     bucket_log,
     bucket_model,
     described,
-    level_model,
+    level_log,
     load_log,
-    raw_log,
+    model_of,
     position_model,
+    raw_log,
 )
 from eventloom.functions import missing as m
 from eventloom.functions.bins import fixed_bins
 from eventloom.functions.names import category_label, sanitize_name
-from eventloom.operators import abstraction, clean, encode, mdp, policy, temporal, transform
+from eventloom.functions.time import infer_formats
+from eventloom.operators import clean, encode, mdp, policy, temporal, transform
+from eventloom.plans.discovery import discover
 from eventloom.plans.preprocess import preprocess
+from eventloom.plans.report import CleaningReport
 from eventloom.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,9 +146,8 @@ def rare_to_other(spark, sf_dir):
     return clean.group_rare_values(log, ["slot", "resource"], frequent)
 
 
-@query
-def preprocessed_log(spark, sf_dir):
-    """The whole preprocessing, over a log with gaps, lost case ids, a boolean and rare values."""
+def _log_with_gaps(spark, sf_dir):
+    """A log with gaps, lost case ids, a boolean and rare values, and its specification."""
     k = F.col("k")
     gaps = {
         "case:concept:name": F.when(k % 17 != 0, F.col("case:concept:name")),
@@ -158,11 +161,25 @@ def preprocessed_log(spark, sf_dir):
         with_open_cases=True,
         boolean_text=("busy",),
     )
-    log = preprocess(raw_log(spark, sf_dir).withColumns(gaps), spec)
+    return raw_log(spark, sf_dir).withColumns(gaps), spec
+
+
+@query
+def preprocessed_log(spark, sf_dir):
+    """The whole preprocessing."""
+    log = preprocess(*_log_with_gaps(spark, sf_dir))
     features = map(r6, (*temporal.FEATURES[:3], "execution_time_minutes", "value", "k"))
     return log.select("case_id", "seq", "activity", "slot", "busy", "segment", *features, "event_nr", "timesincemidnight", "month", "weekday", "hour", "open_cases")
 
 
+@query
+def cleaning_report(spark, sf_dir):
+    """What the preprocessing counted on its way."""
+    report = CleaningReport()
+    preprocess(*_log_with_gaps(spark, sf_dir), report)
+    return report.table(spark)
+
+
 @query
 def complete_cases(spark, sf_dir):
     kept = clean.keep_complete_cases(load_log(spark, sf_dir), SPEC, ["purchase", "signup"])
@@ -200,6 +217,18 @@ def calendar_features(spark, sf_dir):
     return log.select("seq", "timesincemidnight", "month", "weekday", "hour")
 
 
+@query
+def infer_timestamps(spark, sf_dir):
+    """Five ways to write a timestamp in one column, and texts that are none."""
+    ts, way = F.col("ts"), F.col("seq") % 5
+    formats = ("yyyy/MM/dd HH:mm:ss", "dd.MM.yyyy HH:mm", "M/d/yyyy h:mm:ss a", "d MMM yyyy HH:mm:ss.SSSSSS", "yyyyMMdd")
+    text = F.when(F.col("seq") % 97 == 0, F.lit("not a date"))
+    for i, pattern in enumerate(formats):
+        text = text.when(way == i, F.date_format(ts, pattern))
+    log = load_log(spark, sf_dir).select("seq", text.alias("ts"))
+    return infer_formats(log, "ts").apply(log).select("seq", micros())
+
+
 @query
 def case_duration(spark, sf_dir):
     cases = temporal.case_durations(load_log(spark, sf_dir), SPEC)
@@ -316,10 +345,8 @@ def quantile_edges(spark, sf_dir):
 @query
 def kmeans_states(spark, sf_dir):
     # three groups of near numbers, far from each other: any good partition is this one
-    model = level_model(spark, sf_dir)
-    states = model.states
-    mapping = abstraction.k_means(states, 3, ["level"], [])
-    return mapping.join(states, "state").select(
+    model = model_of(level_log(spark, sf_dir), ["level"], kind="partial_k_means", k=3)
+    return model.mapping.join(model.unabstracted, "state").select(
         "state", "abstract_state", F.col("state_key.last_action").alias("last_action"), "visits"
     )
 
@@ -343,14 +370,14 @@ def action_index(spark, sf_dir):
 
 @query
 def state_index(spark, sf_dir):
-    states = position_model(spark, sf_dir).states
+    states = position_model(spark, sf_dir).unabstracted
     return states.select("state", "state_key.last_action", "state_key.event_nr", "state_key.k10", "visits", "initial")
 
 
 @query
 def next_state(spark, sf_dir):
-    model = bucket_model(spark, sf_dir)
-    return mdp.next_states(model.steps, SPEC, model.states).select("case_id", "seq", "step", "state", "next_state")
+    found = bucket_model(spark, sf_dir).next_states()
+    return found.select("case_id", "seq", "step", "state", "next_state")
 
 
 @query
@@ -367,15 +394,22 @@ def transitions_unabstracted(spark, sf_dir):
     )
 
 
+@query
+def terminal_model(spark, sf_dir):
+    """Cases end at a terminal activity, and states are merged by last action."""
+    spec = SPEC.with_(terminal_activities=("purchase", "error"))
+    model = discover(bucket_log(spark, sf_dir), spec, ["bucket"], kind="contextual", keep=())
+    return model.transitions.select("state", "action_index", "action", "next_state", "n", r6("probability"))
+
+
 @query
 def initial_states(spark, sf_dir):
-    return mdp.initial_states(bucket_model(spark, sf_dir).states)
+    return bucket_model(spark, sf_dir).initial_states()
 
 
 @query
 def valid_actions(spark, sf_dir):
-    model = position_model(spark, sf_dir)
-    masks = mdp.valid_actions(model.staged_transitions, model.states)
+    masks = position_model(spark, sf_dir).valid_actions()
     return masks.select("state", F.array_join("actions", ",").alias("actions"))
 
 
@@ -386,8 +420,7 @@ def states_of_action(spark, sf_dir):
 
 @query
 def simplicity(spark, sf_dir):
-    model = position_model(spark, sf_dir)
-    return mdp.simplicity(model.states, model.staged_transitions)
+    return position_model(spark, sf_dir).simplicity()
 
 
 @query
@@ -397,7 +430,7 @@ def states_per_event(spark, sf_dir):
     rows = F.sum(F.when(F.col("state_key.last_action") == "start", 0).otherwise(F.col("visits")))
     # every case has one closing row beside its events
     closing = F.sum(F.when(F.col("state_key.last_action") == "archive_application", F.col("visits")).otherwise(0))
-    counted = model.states.agg(n, (rows - closing).alias("events"))
+    counted = model.unabstracted.agg(n, (rows - closing).alias("events"))
     return counted.select("states", "events", F.round(F.col("states") / F.col("events"), 6).alias("ratio"))
 
 
@@ -407,51 +440,42 @@ def describe_states(spark, sf_dir):
     return table.select("state", "last_action_name", "segment", "resource", r6("value"), r6("k"), "initial")
 
 
-def _abstract(model, mapping):
-    mapping = stage(mapping, "mapping")
-    return mdp.transition_probabilities(stage(mdp.map_edges(model.numbered, mapping), "abstract-edges")).select(
-        "state", "action", "next_state", r6("probability")
-    )
+def _abstract(model):
+    return model.transitions.select("state", "action", "next_state", r6("probability"))
+
+
+def _half():
+    return fixed_bins(F.col("state_key.k10"), (5,), ("low", "high"), right=False)
 
 
 @query
 def abs_contextual(spark, sf_dir):
-    model = position_model(spark, sf_dir)
-    return _abstract(model, abstraction.contextual(model.states))
+    return _abstract(position_model(spark, sf_dir, kind="contextual"))
 
 
 @query
 def abs_bucket(spark, sf_dir):
-    model = position_model(spark, sf_dir)
-    half = fixed_bins(F.col("state_key.k10"), (5,), ("low", "high"), right=False)
-    return _abstract(model, abstraction.bucket(model.states, half))
+    return _abstract(position_model(spark, sf_dir, kind="bucket", bucket_of=_half()))
 
 
 @query
 def abs_structural(spark, sf_dir):
-    model = position_model(spark, sf_dir)
-    return abstraction.structural(model.numbered)
+    return position_model(spark, sf_dir, kind="structural").mapping
 
 
 @query
 def abs_action_set(spark, sf_dir):
-    model = position_model(spark, sf_dir)
-    return abstraction.action_set(model.numbered, model.states)
+    return position_model(spark, sf_dir, kind="action-set").mapping
 
 
 @query
 def abs_action_count(spark, sf_dir):
-    model = position_model(spark, sf_dir)
-    return abstraction.action_count(model.numbered, model.states)
+    return position_model(spark, sf_dir, kind="action-count").mapping
 
 
 @query
 def abstraction_map(spark, sf_dir):
-    model = position_model(spark, sf_dir)
-    mapping = abstraction.bucket(
-        model.states, fixed_bins(F.col("state_key.k10"), (5,), ("low", "high"), right=False), ["event_nr"]
-    )
-    return mapping
+    return position_model(spark, sf_dir, kind="bucket", bucket_of=_half(), control_flow=["event_nr"]).mapping
 
 
 # --- encoding ------------------------------------------------------------------------------------
@@ -481,7 +505,7 @@ def classify_columns(spark, sf_dir):
 def bool_fluents(spark, sf_dir):
     model, states = _encoded_states(spark, sf_dir)
     attributes = encode.classify_columns(states)
-    names = stage(encode.fluent_names(states, model.staged_transitions, attributes), "fluent-names")
+    names = stage(encode.fluent_names(states, model.transitions, attributes), "fluent-names")
     return encode.true_fluents(states, names, attributes)
 
 
@@ -489,15 +513,38 @@ def bool_fluents(spark, sf_dir):
 def fluent_support(spark, sf_dir):
     model, states = _encoded_states(spark, sf_dir)
     attributes = encode.classify_columns(states)
-    names = stage(encode.fluent_names(states, model.staged_transitions, attributes), "fluent-names")
+    names = stage(encode.fluent_names(states, model.transitions, attributes), "fluent-names")
     return encode.fluent_support(names, encode.true_fluents(states, names, attributes), states.count())
 
 
+def _fluents(spark, sf_dir):
+    model, states = _encoded_states(spark, sf_dir)
+    attributes = encode.classify_columns(states)
+    names = stage(encode.fluent_names(states, model.transitions, attributes), "fluent-names")
+    return model, encode.true_fluents(states, names, attributes)
+
+
+@query
+def fluent_support_sets(spark, sf_dir):
+    """The states of each fluent, as bitmaps unpacked for the comparison."""
+    _, fluents = _fluents(spark, sf_dir)
+    states = F.array_join(encode.bitmap_states(F.col("bits"), F.col("bucket")), ",")
+    return encode.support_bitmaps(fluents).select("pvar", "bucket", F.bitmap_count("bits").alias("n_true"), states.alias("states"))
+
+
+@query
+def action_fluents(spark, sf_dir):
+    """In how many states with an action a fluent holds, by bitmaps."""
+    model, fluents = _fluents(spark, sf_dir)
+    actions = encode.support_bitmaps(mdp.states_of_action(model.transitions), "action")
+    return encode.shared_states(actions, encode.support_bitmaps(fluents), "action", "pvar")
+
+
 @query
 def initial_fluents(spark, sf_dir):
     model, states = _encoded_states(spark, sf_dir)
     attributes = encode.classify_columns(states)
-    names = stage(encode.fluent_names(states, model.staged_transitions, attributes), "fluent-names")
+    names = stage(encode.fluent_names(states, model.transitions, attributes), "fluent-names")
     state = encode.initial_candidates(states).agg(F.min("state")).first()[0]
     return encode.initial_fluents(names, encode.true_fluents(states, names, attributes), state)
 
@@ -534,12 +581,12 @@ def uniquify(spark, sf_dir):
 
 @query
 def action_names(spark, sf_dir):
-    return encode.action_names(bucket_model(spark, sf_dir).staged_transitions)
+    return encode.action_names(bucket_model(spark, sf_dir).transitions)
 
 
 @query
 def stick_breaking(spark, sf_dir):
-    clauses = encode.stick_breaking(position_model(spark, sf_dir).staged_transitions)
+    clauses = encode.stick_breaking(position_model(spark, sf_dir).transitions)
     return clauses.select(
         "source", "action", "target", "position", "previous_target", r6("mass_before"), r6("cond_p"), "is_last"
     )
@@ -574,7 +621,7 @@ def initial_candidates(spark, sf_dir):
 
 @query
 def id_check(spark, sf_dir):
-    return encode.check_ids(position_model(spark, sf_dir).states)
+    return encode.check_ids(position_model(spark, sf_dir).unabstracted)
 
 
 # --- policy ----------------------------------------------------------------------------------------
@@ -583,7 +630,16 @@ def id_check(spark, sf_dir):
 @query
 def policy_h3(spark, sf_dir):
     model = bucket_model(spark, sf_dir)
-    states = model.states.select("state", F.col("state_key.last_action").alias("last_action_name"))
+    states = model.unabstracted.select("state", F.col("state_key.last_action").alias("last_action_name"))
     gains = encode.rewards(states, encode.terminal_states(states))
     table = policy.finite_horizon_policy(model.transitions, gains, horizon=3, discount=0.9)
     return table.select("step", "state", "action", r6("value"))
+
+
+@query
+def policy_converged(spark, sf_dir):
+    model = bucket_model(spark, sf_dir)
+    states = model.unabstracted.select("state", F.col("state_key.last_action").alias("last_action_name"))
+    gains = encode.rewards(states, encode.terminal_states(states), otherwise=1.0)
+    table = policy.converged_policy(model.transitions, gains, discount=0.3, tolerance=1e-9, otherwise=1.0)
+    return table.select("state", "action", r6("value"))

@@ -146,9 +146,15 @@ def keep_complete_cases(
     df: DataFrame, spec: LogSpec, activities: Sequence[str], splits: Splits | None = None
 ) -> DataFrame:
     """Only cases in which one of ``activities`` occurs."""
+    return flag_complete_cases(df, spec, activities, "__complete", splits).where("__complete").drop("__complete")
+
+
+def flag_complete_cases(
+    df: DataFrame, spec: LogSpec, activities: Sequence[str], output: str, splits: Splits | None = None
+) -> DataFrame:
+    """Each event with a flag: whether one of ``activities`` occurs in its case."""
     hit = F.coalesce(col(spec.activity).isin(*activities), F.lit(False))
-    flagged = ordered_scan(df, [spec.case], spec.order, {"__complete": GroupMax(hit)}, splits)
-    return flagged.where("__complete").drop("__complete")
+    return ordered_scan(df, [spec.case], spec.order, {output: GroupMax(hit)}, splits)
 
 
 def _first_at(spec: LogSpec, activities: Sequence[str]) -> GroupMin:

@@ -224,6 +224,65 @@ def fluent_support(names: DataFrame, fluents: DataFrame, n_states: int) -> DataF
     return names.select("pvar").join(counts, "pvar", "left").select("pvar", n.alias("n_true"), constant.alias("constant"))
 
 
+#: States in one bitmap
+BITMAP_STATES = 32_768
+
+
+def support_bitmaps(pairs: DataFrame, name: str = "pvar") -> DataFrame:
+    """(``name``, bucket, bits): the states of each name, a bitmap per 32,768 ids.
+
+    ``pairs`` has (``name``, state) with ids from 0: fluents and the states where
+    they hold, or actions and the states that have them. Bit i of bucket b is state
+    32,768 * b + i. Buckets without a state have no row.
+    """
+    # Spark's bitmaps count from 1
+    one = F.col("state") + 1
+    return pairs.groupBy(col(name), (F.bitmap_bucket_number(one) - 1).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(one)).alias("bits")
+    )
+
+
+def bitmap_states(bits: Column, bucket: Column) -> Column:
+    """The sorted states of a bitmap."""
+    byte = F.transform(F.sequence(F.lit(1), F.octet_length(bits)), lambda i: F.struct(i.alias("at"), F.hex(F.substring(bits, i, F.lit(1))).alias("hex")))
+    used = F.filter(byte, lambda b: b["hex"] != "00")
+
+    def eight(b: Column) -> Column:
+        value = F.conv(b["hex"], 16, 10).cast("int")
+        set_bits = F.filter(F.sequence(F.lit(0), F.lit(7)), lambda i: F.call_function("shiftright", value, i) % 2 == 1)
+        return F.transform(set_bits, lambda i: bucket.cast("long") * BITMAP_STATES + (b["at"] - 1) * 8 + i)
+
+    return F.flatten(F.transform(used, eight))
+
+
+def in_all(bitmaps: DataFrame, name: str = "pvar", group: Sequence[str] = ()) -> DataFrame:
+    """(group..., bucket, bits): the states that all names of a group have."""
+    keys = list(map(col, group))
+    distinct = bitmaps.select(*keys, col(name)).distinct()
+    both = bitmaps.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("found"), F.bitmap_and_agg("bits").alias("bits"))
+    if group:
+        joined = both.join(distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("names")), list(group))
+    else:
+        joined = both.withColumn("names", F.lit(distinct.count()))
+    return joined.where("found = names and bitmap_count(bits) > 0").select(*keys, "bucket", "bits")
+
+
+def in_any(bitmaps: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """(group..., bucket, bits): the states that some name of a group has."""
+    return bitmaps.groupBy(*map(col, group), "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def shared_states(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
+    """(``left_name``, ``right_name``, n): in how many states each pair of names of two tables of bitmaps meets.
+
+    Meant for two alphabets: the result has a row for each pair that meets.
+    """
+    pairs = left.select(col(left_name), "bucket", F.col("bits").alias("a")).join(right.select(col(right_name), "bucket", F.col("bits").alias("b")), "bucket")
+    both = pairs.select(col(left_name), col(right_name), "bucket", F.explode(F.array("a", "b")).alias("bits"))
+    met = both.groupBy(col(left_name), col(right_name), "bucket").agg(F.bitmap_and_agg("bits").alias("bits"))
+    return met.groupBy(col(left_name), col(right_name)).agg(F.sum(F.bitmap_count("bits")).alias("n")).where("n > 0")
+
+
 def initial_fluents(names: DataFrame, fluents: DataFrame, state: int) -> DataFrame:
     """(pvar, value): every fluent at the initial state."""
     here = fluents.where(F.col("state") == state).select("pvar", F.lit(True).alias("value"))
@@ -376,6 +435,7 @@ def encode(
             "fluent_names": names,
             "fluents": fluents,
             "fluent_support": fluent_support(names, fluents, n_states),
+            "fluent_bitmaps": support_bitmaps(fluents),
             "initial_fluents": initial_fluents(names, fluents, chosen),
         }
     return tables

@@ -4,11 +4,16 @@ The log is scanned once (``mdp_steps``) and reduced at once to counted edges
 (``count_edges``): distinct (state, action, next state) with the number of
 occurrences and the first position. States, transitions, initial states and all
 abstractions are derived from the edges, not from the events.
+
+A state is a struct of the last action and the attributes, which may be many and
+long texts. What is shuffled and joined in its place is a fingerprint of 128 bits
+(``with_fingerprints``); the structs go once into a dictionary of distinct keys
+(``key_dictionary``), which also shows whether two keys share a fingerprint.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,49 +79,108 @@ def mdp_steps(df: DataFrame, spec: LogSpec, attributes: Sequence[str], splits: S
     ).drop("next_at")
 
 
+#: The two halves of the fingerprint of a row's state, and of the next one
+STATE_PRINT, NEXT_PRINT = ("state_hi", "state_lo"), ("next_hi", "next_lo")
+
+
+def key_hash(parts: Sequence[Column], salt: int) -> Column:
+    """A 64-bit hash of values that tells nulls from other values by their places."""
+    marked = [x for p in parts for x in (p.isNull(), p)]
+    return F.xxhash64(F.lit(salt), *marked)
+
+
+def _without_sign_of_zero(value: Column, kind: T.DataType) -> Column:
+    return value + F.lit(0.0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+
+
+def with_fingerprints(
+    steps: DataFrame, salt: int = 0, hashed: Callable[[Sequence[Column], int], Column] = key_hash
+) -> DataFrame:
+    """Add the fingerprints of ``state_key`` and ``next_key``; null where there is no next key.
+
+    ``salt`` chooses one of many independent fingerprints. Numbers that are grouped
+    as equal (0.0 and -0.0) have equal fingerprints.
+    """
+    fields = steps.schema["state_key"].dataType.fields
+
+    def parts(key: str) -> list[Column]:
+        return [_without_sign_of_zero(F.col(key)[f.name], f.dataType) for f in fields]
+
+    own = {n: hashed(parts("state_key"), 2 * salt + i) for i, n in enumerate(STATE_PRINT)}
+    following = {n: F.when(F.col("next_key").isNotNull(), hashed(parts("next_key"), 2 * salt + i)) for i, n in enumerate(NEXT_PRINT)}
+    return steps.withColumns(own | following)
+
+
+#: Salt of the hash that tells keys with one fingerprint apart; no fingerprint uses it
+CHECK_SALT = -1
+
+
+def key_dictionary(steps: DataFrame) -> DataFrame:
+    """(state_hi, state_lo, state_key, collides): one row per fingerprint, in one exchange of distinct keys.
+
+    ``collides`` tells whether several keys have it, by a third hash of 64 bits that
+    does not depend on the fingerprints.
+    """
+    fields = steps.schema["state_key"].dataType.fields
+    third = key_hash([_without_sign_of_zero(F.col("state_key")[f.name], f.dataType) for f in fields], CHECK_SALT)
+    rows = steps.select(*STATE_PRINT, "state_key", third.alias("third"))
+    return rows.groupBy(*STATE_PRINT).agg(F.first("state_key").alias("state_key"), (F.min("third") < F.max("third")).alias("collides"))
+
+
+def has_collisions(dictionary: DataFrame) -> bool:
+    return not dictionary.where("collides").isEmpty()
+
+
 def count_edges(steps: DataFrame, spec: LogSpec) -> DataFrame:
-    """(state_key, action, next_key, n, first_at, initial), aggregated map-side first.
+    """(state_hi, state_lo, last_action, action, next_hi, next_lo, n, first_at, initial), aggregated map-side first.
 
+    ``steps`` have fingerprints; only these and the alphabet's texts are shuffled.
     The first position is a struct of any types, so Spark sorts before it
     aggregates; a position as one number would need a rank of all cases.
     """
     position = F.struct(col(spec.case).alias("case"), *[col(c).alias(f"at{i}") for i, c in enumerate(spec.order)], "step")
-    return steps.groupBy("state_key", "action", "next_key").agg(
+    return steps.groupBy(*STATE_PRINT, LAST_ACTION, "action", *NEXT_PRINT).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(position).alias("first_at"),
         F.max(F.col("step") == 0).alias("initial"),
     )
 
 
-def state_space(edges: DataFrame) -> DataFrame:
-    """(state, state_key, visits, initial, first_at): ids in order of first appearance.
+def state_space(edges: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(state, state_hi, state_lo, state_key, visits, initial, first_at): ids in order of first appearance.
 
-    The edges are read twice, so hand in a staged table.
+    Both tables are read more than once, so hand in staged ones.
     """
-    states = edges.groupBy("state_key").agg(
+    states = edges.groupBy(*STATE_PRINT).agg(
         F.sum("n").alias("visits"), F.max("initial").alias("initial"), F.min("first_at").alias("first_at")
     )
-    return dense_index(states, ["first_at"], "state", splits=find_splits(edges, (), ("first_at",)))
+    numbered = dense_index(states, ["first_at"], "state", splits=find_splits(edges, (), ("first_at",)))
+    keys = dictionary.select(*STATE_PRINT, "state_key")
+    return numbered.join(keys, list(STATE_PRINT)).select("state", *STATE_PRINT, "state_key", "visits", "initial", "first_at")
 
 
 def action_index(edges: DataFrame) -> DataFrame:
     """(action_index, action): ids in order of first appearance; the start action comes first."""
-    actions = edges.groupBy(F.col(f"state_key.{LAST_ACTION}").alias("action")).agg(F.min("first_at").alias("first_at"))
+    actions = edges.groupBy(F.col(LAST_ACTION).alias("action")).agg(F.min("first_at").alias("first_at"))
     numbered = dense_index(actions, ["first_at"], "action_index", splits=find_splits(edges, (), ("first_at",)))
     return numbered.select("action_index", "action")
 
 
+def _with_state_ids(rows: DataFrame, states: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """``kept`` columns, ``state`` and ``next_state`` (-1 where there is no next key) of rows with fingerprints."""
+    following = states.select(F.col("state").alias("next_state"), *[F.col(a).alias(b) for a, b in zip(STATE_PRINT, NEXT_PRINT, strict=True)])
+    columns = [*STATE_PRINT, *map(col, kept)]
+    # the final rows have no next key, and would meet in one task if they were joined on it
+    leading = rows.where(F.col(NEXT_PRINT[0]).isNotNull()).join(following, list(NEXT_PRINT))
+    final = rows.where(F.col(NEXT_PRINT[0]).isNull()).withColumn("next_state", F.lit(-1).cast("long"))
+    both = leading.select(*columns, "next_state").unionByName(final.select(*columns, "next_state"))
+    ids = states.select("state", *STATE_PRINT)
+    return both.join(ids, list(STATE_PRINT)).select(*map(col, kept), "state", "next_state")
+
+
 def number_edges(edges: DataFrame, states: DataFrame) -> DataFrame:
     """Edges with state ids: (state, action, next_state, n, first_at); -1 after the last row of a case."""
-    ids = states.select("state", "state_key")
-    following = states.select(F.col("state").alias("__next"), F.col("state_key").alias("next_key"))
-    # the final rows have no next key, and would meet in one task if they were joined on it
-    leading = edges.where(F.col("next_key").isNotNull()).join(following, "next_key")
-    final = edges.where(F.col("next_key").isNull()).withColumn("__next", F.lit(-1).cast("long"))
-    both = leading.select("state_key", "action", "__next", "n", "first_at").unionByName(
-        final.select("state_key", "action", "__next", "n", "first_at")
-    )
-    return both.join(ids, "state_key").select("state", "action", F.col("__next").alias("next_state"), "n", "first_at")
+    return _with_state_ids(edges, states, ["action", "n", "first_at"]).select("state", "action", "next_state", "n", "first_at")
 
 
 def map_edges(numbered: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -184,17 +248,11 @@ def simplicity(states: DataFrame, transitions: DataFrame) -> DataFrame:
 def next_states(steps: DataFrame, spec: LogSpec, states: DataFrame) -> DataFrame:
     """Per step its state id and the id of the next step's state in the case, -1 at the end.
 
-    A step has the key of the next state, so both ids are looked up.
+    A step has the fingerprint of the next state, so both ids are looked up.
     """
-    position = [*map(col, (spec.case, *spec.order)), "step"]
-    rows = steps.select(*position, "state_key", "next_key")
-    following = states.select(F.col("state").alias("next_state"), F.col("state_key").alias("next_key"))
-    # final rows have no next key, and would meet in one task if they were joined on it
-    leading = rows.where(F.col("next_key").isNotNull()).join(following, "next_key")
-    final = rows.where(F.col("next_key").isNull()).withColumn("next_state", F.lit(-1).cast("long"))
-    kept = [*position, "state_key", "next_state"]
-    both = leading.select(*kept).unionByName(final.select(*kept))
-    return both.join(states.select("state", "state_key"), "state_key").select(*position, "state", "next_state")
+    position = [*(col(n) for n in (spec.case, *spec.order)), F.col("step")]
+    rows = steps.select(*position, *STATE_PRINT, *NEXT_PRINT)
+    return _with_state_ids(rows, states, rows.columns[: len(position)])
 
 
 def describe_states(
@@ -205,12 +263,12 @@ def describe_states(
 ) -> DataFrame:
     """One row per state: last action, most frequent category (the smallest on ties), mean number, initial flag.
 
-    ``states`` maps ``state_key`` to ``state``; several keys may share a state.
+    ``states`` maps the fingerprints of keys to ``state``; several keys may share a state.
     Categories are counted per (key, column, value) first, so that no task
     keeps all values of a state; only the counts are joined with the states.
     """
     names = [LAST_ACTION, *categorical]
-    rows = steps.select("state_key", *map(col, [LAST_ACTION, "step", *categorical, *numeric]))
+    rows = steps.select(*STATE_PRINT, *map(col, [LAST_ACTION, "step", *categorical, *numeric]))
 
     def pair(i: int, name: str) -> Column:
         """A category; the first one also carries the row's numbers, so that one pass does for all."""
@@ -222,8 +280,8 @@ def describe_states(
 
     numbers = range(len(numeric))
     per_key = (
-        rows.select("state_key", F.inline(F.array(*[pair(i, n) for i, n in enumerate(names)])))
-        .groupBy("state_key", "at", "value")
+        rows.select(*STATE_PRINT, F.inline(F.array(*[pair(i, n) for i, n in enumerate(names)])))
+        .groupBy(*STATE_PRINT, "at", "value")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.max("first").alias("first"),
@@ -232,7 +290,7 @@ def describe_states(
         )
     )
     counted = (
-        per_key.join(states.select("state", "state_key"), "state_key")
+        per_key.join(states.select("state", *STATE_PRINT), list(STATE_PRINT))
         .groupBy("state", "at", "value")
         .agg(F.sum("n").alias("n"), F.max("first").alias("first"), *[F.sum(f"{s}{j}").alias(f"{s}{j}") for s in ("sum", "count") for j in numbers])
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.operators import abstraction, clean, mdp
@@ -14,16 +16,61 @@ from eventloom.spec import LogSpec, col
 from eventloom.staging import stage
 
 
+#: Fingerprints to try before giving up; two keys of a log share one of 128 bits about never
+SALTS = 4
+
+
 @dataclass(frozen=True)
 class DecisionModel:
-    """Tables of a discovered model. State ids are those of the abstraction."""
-
-    steps: DataFrame  # state rows of the cases
-    unabstracted: DataFrame  # (state, state_key, visits, initial, first_at)
-    mapping: DataFrame  # (state, abstract_state)
-    states: DataFrame  # (state, state_key, initial): one row per unabstracted key
-    actions: DataFrame  # (action_index, action)
-    transitions: DataFrame  # (state, action_index, action, next_state, n, probability)
+    """Tables of a discovered model, each staged when it is first used. State ids are those of the abstraction."""
+
+    spec: LogSpec
+    steps: DataFrame  # state rows of the cases, with fingerprints of their keys
+    dictionary: DataFrame  # (state_hi, state_lo, state_key)
+    map_states: Callable[[DecisionModel], DataFrame] | None  # gives (state, abstract_state)
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        return stage(mdp.count_edges(self.steps, self.spec), "edges")
+
+    @cached_property
+    def unabstracted(self) -> DataFrame:
+        """(state, state_hi, state_lo, state_key, visits, initial, first_at)"""
+        return stage(mdp.state_space(self.edges, self.dictionary), "states")
+
+    @cached_property
+    def numbered(self) -> DataFrame:
+        """Edges between unabstracted states: (state, action, next_state, n, first_at)"""
+        return stage(mdp.number_edges(self.edges, self.unabstracted), "numbered-edges")
+
+    @cached_property
+    def mapping(self) -> DataFrame:
+        """(state, abstract_state)"""
+        if self.map_states is None:
+            return abstraction.identity(self.unabstracted)
+        return stage(self.map_states(self), "mapping")
+
+    @cached_property
+    def states(self) -> DataFrame:
+        """(state, state_hi, state_lo, state_key, initial): one row per unabstracted key"""
+        kept = (*mdp.STATE_PRINT, "state_key", "initial")
+        if self.map_states is None:
+            return self.unabstracted.select("state", *kept)
+        joined = self.unabstracted.select("state", *kept).join(self.mapping, "state")
+        return stage(joined.select(F.col("abstract_state").alias("state"), *kept), "state-keys")
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        """(action_index, action)"""
+        return stage(mdp.action_index(self.edges), "actions")
+
+    @cached_property
+    def transitions(self) -> DataFrame:
+        """(state, action_index, action, next_state, n, probability)"""
+        edges = self.numbered
+        if self.map_states is not None:
+            edges = stage(mdp.map_edges(self.numbered, self.mapping), "abstract-edges")
+        return stage(mdp.transition_probabilities(edges, self.actions), "transitions")
 
     def initial_states(self) -> DataFrame:
         return mdp.initial_states(self.states)
@@ -37,6 +84,10 @@ class DecisionModel:
     def describe(self, categorical: Sequence[str], numeric: Sequence[str]) -> DataFrame:
         return mdp.describe_states(self.steps, self.states, categorical, numeric)
 
+    def next_states(self) -> DataFrame:
+        """Per step its unabstracted state and the next one of the case."""
+        return mdp.next_states(self.steps, self.spec, self.unabstracted)
+
     def contract(self) -> DataFrame:
         """The transition table as it is handed on."""
         return self.transitions.select("state", "action_index", "action", "next_state", "probability")
@@ -60,6 +111,7 @@ def discover(
     splits: Splits | None = None,
     encoding: Mapping[str, str] | None = None,
     keep: Sequence[str] | None = None,
+    hashed: Callable[[Sequence[Column], int], Column] = mdp.key_hash,
 ) -> DecisionModel:
     """Discover states, actions and transition probabilities.
 
@@ -68,6 +120,10 @@ def discover(
     expression over ``state_key`` for the kind ``bucket``. ``encoding`` is the
     role of each category in k-means. ``keep`` names the columns that the steps
     keep for :meth:`DecisionModel.describe`, all configured ones by default.
+
+    The steps and the dictionary of their keys are staged here, the other tables
+    when they are used. If two keys share a fingerprint, another one is tried;
+    ``hashed`` takes the place of :func:`eventloom.operators.mdp.key_hash`.
     """
     if kind not in abstraction.KINDS:
         raise ValueError(f"unknown abstraction {kind!r}, one of {abstraction.KINDS}")
@@ -77,26 +133,23 @@ def discover(
     kept = keep if keep is not None else dict.fromkeys((*spec.categorical, *spec.numeric, *spec.outcome_columns))
     described = [n for n in dict.fromkeys([*kept, *attributes]) if n in df.columns]
     position = [n for n in (spec.case, *spec.order) if n not in described]
-    # the attributes are in the log's columns once, and in the keys of the states
-    steps = mdp.mdp_steps(cut, spec, attributes, splits)
-    own = ("step", "last_action", "action", "state_key", "next_key")
-    steps = stage(steps.select(*map(col, [*position, *(n for n in described if n not in own)]), *own), "steps")
-
-    edges = stage(mdp.count_edges(steps, spec), "edges")
-    unabstracted = stage(mdp.state_space(edges), "states")
-    numbered = stage(mdp.number_edges(edges, unabstracted), "numbered-edges")
-    actions = stage(mdp.action_index(edges), "actions")
-
-    if kind == "none":
-        mapping = abstraction.identity(unabstracted)
-        abstract_edges = numbered
+    rows = mdp.mdp_steps(cut, spec, attributes, splits)
+    own = ("step", "last_action", "action", "state_key", *mdp.STATE_PRINT, *mdp.NEXT_PRINT)
+    kept = [*map(col, [*position, *(n for n in described if n not in own)]), *own]
+    if kind == "bucket" and bucket_of is None:
+        raise ValueError("the bucket abstraction needs bucket_of")
+    for salt in range(SALTS):
+        steps = stage(mdp.with_fingerprints(rows, salt, hashed).select(*kept), "steps")
+        dictionary = stage(mdp.key_dictionary(steps), "state-dictionary")
+        if not mdp.has_collisions(dictionary):
+            break
     else:
-        mapping = stage(_mapping(df, unabstracted, numbered, attributes, kind, k, control_flow, bucket_of, seed, encoding), "mapping")
-        abstract_edges = stage(mdp.map_edges(numbered, mapping), "abstract-edges")
-    states = unabstracted.select("state", "state_key", "initial").join(mapping, "state")
-    states = states.select(states["abstract_state"].alias("state"), "state_key", "initial")
-    transitions = stage(mdp.transition_probabilities(abstract_edges, actions), "transitions")
-    return DecisionModel(steps, unabstracted, mapping, stage(states, "state-keys"), actions, transitions)
+        raise RuntimeError(f"state keys share fingerprints with each of {SALTS} salts")
+
+    def mapping(model: DecisionModel) -> DataFrame:
+        return _mapping(df, model.unabstracted, model.numbered, attributes, kind, k, control_flow, bucket_of, seed, encoding)
+
+    return DecisionModel(spec, steps, dictionary.drop("collides"), None if kind == "none" else mapping)
 
 
 def _mapping(
@@ -114,8 +167,6 @@ def _mapping(
     if kind == "contextual":
         return abstraction.contextual(states)
     if kind == "bucket":
-        if bucket_of is None:
-            raise ValueError("the bucket abstraction needs bucket_of")
         return abstraction.bucket(states, bucket_of, control_flow)
     if kind == "structural":
         return abstraction.structural(numbered)

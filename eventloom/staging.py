@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +49,33 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     path = f"{staged_dir(spark)}/{name}-{uuid.uuid4().hex}"
     (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_buckets(df: DataFrame, name: str, buckets: int, by: str) -> DataFrame:
+    """Write ``df`` to the shared folder in ``buckets`` by the hash of ``by`` and read it back.
+
+    A join or an aggregation by ``by`` then needs no exchange of this side. The
+    table is known to the session's catalog under a name of its own.
+    """
+    spark = df.sparkSession
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by).format("parquet")
+    writer.option("path", f"{staged_dir(spark)}/{table}").saveAsTable(table)
+    return spark.table(table)
+
+
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings for what runs within; ``conf`` uses ``__`` for dots."""
+    names = {key.replace("__", "."): value for key, value in conf.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
