@@ -5,15 +5,15 @@ over half of the hashes of its four-word shingles. Fingerprints link if they
 differ in at most ``radius`` bits.
 
 The pivot table holds, for each fingerprint, its Hamming distances to reference
-fingerprints, split by block of :data:`BLOCK_BITS` bits: ``radius`` differing bits
-leave at least ``8 - radius`` of the 8 blocks as they are, and in these all
+fingerprints, split by :data:`BLOCKS` blocks of 9 or 10 bits: ``radius`` differing bits
+leave at least ``7 - radius`` of the 7 blocks as they are, and in these all
 coordinates are equal. A distance over all 64 bits cannot say which pairs to
 compare: for fingerprints of unlike texts it spreads by four bits, no more than
 the radius, so a coordinate alone keeps six of ten pairs. So
 
 1. equal fingerprints are one class, and one row goes on;
-2. each combination of ``8 - radius`` blocks gives a key, a hash of the coordinates
-   there (70 keys of 32 bits at radius 4); members of a key are compared;
+2. each combination of ``7 - radius`` blocks gives a key, a hash of the coordinates
+   there (35 keys of 27 bits or more at radius 4); members of a key are compared;
 3. within a key a pair is discarded if, for some reference, the coordinate
    differences summed over the blocks exceed the radius (a block's coordinates
    cannot differ by more than its bits do). Survivors are verified by their bits,
@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +47,11 @@ from eventloom.llm.minhash import mix
 from eventloom.staging import stage
 
 WORDS, SEED, RADIUS = 4, 42, 4
-BLOCKS, BLOCK_BITS = 8, 8
+BLOCKS = 7
 REFERENCES = 16
+#: Where the blocks begin, and their bits as masks
+CUTS = [64 * b // BLOCKS for b in range(BLOCKS + 1)]
+MASKS = np.array([(1 << high) - (1 << low) for low, high in pairwise(CUTS)], np.uint64)
 #: Hashes whose bits are counted at once.
 COUNTED = 1 << 16
 #: Pairs that are compared at once.
@@ -73,21 +76,21 @@ def fingerprint(text: str, words_per_shingle: int = WORDS) -> int:
 
 @cache
 def references(count: int = REFERENCES) -> np.ndarray:
-    """The reference fingerprints, as bytes by block: the same ones in each task."""
-    return mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype("<u8").view(np.uint8).reshape(count, BLOCKS)
+    """The reference fingerprints: the same ones in each task."""
+    return mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def pivot_table(prints: np.ndarray) -> np.ndarray:
     """Distances (fingerprint, reference, block) of an array of 64-bit fingerprints."""
-    blocks = prints.astype("<u8").view(np.uint8).reshape(-1, 1, BLOCKS)
-    return np.bitwise_count(blocks ^ references()[None]).astype(np.int8)
+    differing = prints[:, None] ^ references()[None]
+    return np.bitwise_count(differing[:, :, None] & MASKS).astype(np.int8)
 
 
 def block_keys(prints: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     """Keys (fingerprint, combination) of the blocks that ``radius`` differing bits leave as they are."""
     table = pivot_table(prints)
-    # the coordinates of one block as one number: 16 distances of 0 to 8
-    digits = np.uint64(BLOCK_BITS + 1) ** np.arange(REFERENCES, dtype=np.uint64)
+    # the coordinates of one block as one number: 16 distances of 0 to 10
+    digits = np.uint64(64 // BLOCKS + 2) ** np.arange(REFERENCES, dtype=np.uint64)
     codes = (table.astype(np.uint64) * digits[None, :, None]).sum(axis=1, dtype=np.uint64)
     keys = []
     for number, blocks in enumerate(combinations(range(BLOCKS), BLOCKS - radius)):
@@ -173,7 +176,8 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, most: int | None
         most = meeting_points(np.zeros(1, np.uint64), radius).shape[1]
     keyed = _listed(prints, lambda p: block_keys(p, radius), "key")
     shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shared-keys")
-    members = stage(keyed.join(shared, "key"), "key-members")
+    # shared keys grow with the documents, so they are not broadcast at any size
+    members = stage(keyed.join(shared.hint("merge"), "key"), "key-members")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
