@@ -92,7 +92,6 @@ WORDINGS = (
     ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL-2.0", "GNU Library General Public License"),
     ("LGPL-2.0", "GNU Library General Public License Version 2, June 1991"),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("AGPL-3.0", "GNU Affero General Public License"),
     ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
     ("BSD-3-Clause", "BSD 3-Clause License"),
@@ -121,8 +120,6 @@ SPDX_IDS = (
 for _id in SPDX_IDS:
     _again = " " + _id.split("-")[0] if re.search("^(Apache|CC)|-1[.]", _id) else ""
     WORDINGS += tuple((_id, f"SPDX-License-Identifier: {_id}{kind}{_again}") for kind in (("", "-only", "-or-later") if "GPL" in _id else ("",)))
-#: Only the SQL statement of the query picks its passages by these; the scan does not.
-LICENCE_WORDS = ("license", "licence", "licensed", "licenced", "redistribution", "reserved", "copyright")
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)(\.[^/]*)?$"
 LEAST = 0.75
 #: Frequent in texts without a licence, so they pick passages only if other words do not suffice; without effect on results.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventloom.llm.licences import LEAST, LICENCE_WORDS, template_terms
+from eventloom.llm.licences import LEAST, TEMPLATES, WORDINGS, template_terms, wording_vectors
 
 # sets of five-word shingles, links of pairs with a common shingle, smallest reachable id
 NEAR_DUPLICATES = r"""
@@ -104,29 +104,33 @@ FROM scored WHERE score > 0 QUALIFY rank <= 50
 
 
 def _licences() -> str:
-    terms, unknown = template_terms()
-    values = ", ".join(f"('{w}', '{name}', {weight!r}::DOUBLE, {idf!r}::DOUBLE)" for w, name, weight, idf in terms)
-    holds = "(?i)(^|[^a-z0-9])(" + "|".join(LICENCE_WORDS) + ")([^a-z0-9]|$)"
+    """Every passage against every template and wording, without a choice of candidates."""
+    vectors = wording_vectors(TEMPLATES, WORDINGS)
+    unknown = template_terms()[1]
+    values = ", ".join(f"({n}, '{w}', '{name}', {weight!r}::DOUBLE, {idf[w]!r}::DOUBLE)" for n, (name, weights, idf) in enumerate(vectors) for w, weight in weights.items())
     return rf"""
-WITH terms(word, license, weight, idf) AS (VALUES {values}),
-files AS (
-  SELECT doc_id, text, concat_ws('/', source, CAST(doc_id // 1000 AS VARCHAR), CAST(doc_id // 100 % 10 AS VARCHAR)) AS folder,
-    CASE WHEN regexp_matches(string_split(text, chr(10))[1], '(?i)licen[sc]e') THEN 'LICENSE' ELSE CAST(doc_id AS VARCHAR) || '.txt' END AS name
+WITH terms(template, word, license, weight, idf) AS (VALUES {values}),
+placed AS (
+  SELECT doc_id, text, concat_ws('/', source, CAST(doc_id // 1000 AS VARCHAR), CAST(doc_id // 100 % 10 AS VARCHAR)) AS own_folder, source,
+    CASE WHEN regexp_matches(text, '(?i)licen[sc]e') THEN doc_id % 4 ELSE 3 END AS level
   FROM documents
+), files AS (
+  SELECT doc_id, text, CASE level WHEN 0 THEN source WHEN 1 THEN concat_ws('/', source, CAST(doc_id // 1000 AS VARCHAR)) ELSE own_folder END AS folder,
+    CASE WHEN level < 3 THEN 'LICENSE' ELSE CAST(doc_id AS VARCHAR) || '.txt' END AS name
+  FROM placed
 ), parts AS (
   SELECT doc_id, passage, row_number() OVER () AS part FROM (
-    SELECT doc_id, unnest(list_distinct(list_concat(list_concat(string_split(text, chr(10)), string_split_regex(text, '\n[ \t\r]*\n')), [text]))) AS passage
-    FROM files WHERE regexp_matches(text, '{holds}')) WHERE regexp_matches(passage, '{holds}')
+    SELECT doc_id, unnest(list_distinct(list_concat(list_concat(string_split(text, chr(10)), string_split_regex(text, '\n[ \t\r]*\n')), [text]))) AS passage FROM files)
 ), bags AS (
   SELECT doc_id, part, word, count(*) AS n FROM (
     SELECT doc_id, part, unnest(string_split_regex(translate(passage, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+')) AS word FROM parts)
   WHERE word <> '' GROUP BY ALL
 ), norms AS (
   SELECT part, sqrt(sum(power(n * coalesce(idf, {unknown!r}::DOUBLE), 2))) AS norm
-  FROM bags LEFT JOIN (SELECT DISTINCT word, idf FROM terms) USING (word) GROUP BY part
+  FROM bags LEFT JOIN (SELECT word, min(idf) AS idf FROM terms GROUP BY word) USING (word) GROUP BY part
 ), alike AS (
   SELECT doc_id, license, round(sum(n * idf * weight) / any_value(norm), 6) AS similarity
-  FROM bags JOIN terms USING (word) JOIN norms USING (part) GROUP BY doc_id, part, license
+  FROM bags JOIN terms USING (word) JOIN norms USING (part) GROUP BY doc_id, part, template, license
 ), own AS (
   SELECT doc_id, license, similarity FROM alike WHERE similarity >= {LEAST}
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, license) = 1

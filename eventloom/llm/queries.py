@@ -74,13 +74,17 @@ def op8_language(spark, sf_dir):
 def document_files(documents: DataFrame) -> DataFrame:
     """The documents as files: folders by source and thousands and hundreds of the id.
 
-    A document that opens with a licence statement is the licence file of its
-    folder, any other one is named by its id.
+    Of the documents that mention a licence, those whose id has the remainder 0, 1 or
+    2 by four are licence files: of the source, of the thousands or of the hundreds.
+    Any other one is a file of its hundreds, named by its id.
     """
-    opens = F.coalesce(F.regexp_like(F.substring_index("text", "\n", 1), F.lit("(?i)licen[sc]e")), F.lit(False))
+    mentions = F.coalesce(F.regexp_like("text", F.lit("(?i)licen[sc]e")), F.lit(False))
     thousands, hundreds = F.expr("doc_id div 1000").cast("string"), F.expr("doc_id div 100 % 10").cast("string")
-    name = F.when(opens, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return documents.select(F.col("doc_id").alias("file_id"), F.concat_ws("/", "source", thousands, hundreds, name).alias("path"), "text")
+    level = F.when(mentions, F.pmod("doc_id", F.lit(4)))
+    path = F.concat_ws("/", "source", thousands, hundreds, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    for depth, folder in enumerate((["source"], ["source", thousands], ["source", thousands, hundreds])):
+        path = F.when(level == depth, F.concat_ws("/", *folder, F.lit("LICENSE"))).otherwise(path)
+    return documents.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
 
 
 @query

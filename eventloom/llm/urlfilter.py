@@ -5,7 +5,10 @@ learn from. All others get the trees' verdict. The features are lexical: lengths
 depth, ratios of digits and letters, entropy of the characters, counts of
 parameters and signs, and statistics of the host's suffix (its last two labels,
 and its last one): how many urls it has, over all urls, and the share of blocked
-ones among the labelled, smoothed.
+ones among the labelled urls of other hosts, smoothed. A rule speaks of a host or a
+domain, so the labels there repeat it: a row's own host counts nothing for the share of its
+domain, and its own domain nothing for that of its last label. Otherwise the trees
+would learn the rules' names and nothing of the urls.
 
 Expressions stay in SQL. Statistics are aggregated per suffix before they are
 joined, so the join's other side has one row per suffix, and a suffix with most
@@ -98,26 +101,33 @@ def _top(domain: str) -> Column:
 
 
 def suffix_statistics(ruled: DataFrame) -> DataFrame:
-    """One staged row for each ``domain``: counts and smoothed shares of it and of its top label."""
+    """One staged row for each ``host``: counts of its domain and last label, and smoothed shares of blocked urls elsewhere in them."""
     labelled, blocked = F.count("label"), F.coalesce(F.sum("label"), F.lit(0.0))
-    domains = stage(ruled.groupBy("domain").agg(F.count(F.lit(1)).alias("urls"), labelled.alias("labelled"), blocked.alias("blocked")), "domains").withColumn("top", _top("domain"))
-    tops = stage(domains.groupBy("top").agg(*[F.sum(c).alias(f"top_{c}") for c in ("urls", "labelled", "blocked")]), "tops")
+    hosts = stage(ruled.groupBy("host", "domain").agg(F.count(F.lit(1)).alias("urls"), labelled.alias("labelled"), blocked.alias("blocked")), "hosts")
+    sums = ("urls", "labelled", "blocked")
+    domains = stage(hosts.groupBy("domain").agg(*[F.sum(c).alias(f"domain_{c}") for c in sums]), "domains").withColumn("top", _top("domain"))
+    tops = stage(domains.groupBy("top").agg(*[F.sum(f"domain_{c}").alias(f"top_{c}") for c in sums]), "tops")
 
-    def share(prefix: str) -> Column:
-        return (F.col(f"{prefix}blocked") + PRIOR / 2) / (F.col(f"{prefix}labelled") + PRIOR)
+    def share(all_of: str, but: str) -> Column:
+        return (F.col(f"{all_of}_blocked") - F.col(f"{but}blocked") + PRIOR / 2) / (F.col(f"{all_of}_labelled") - F.col(f"{but}labelled") + PRIOR)
 
-    both = domains.join(tops, "top")
-    return stage(both.select("domain", F.log1p("urls").alias("domain_urls"), share("").alias("domain_blocked"), F.log1p("top_urls").alias("top_urls"), share("top_").alias("top_blocked")), "suffixes")
+    both = hosts.join(domains, "domain").join(tops, "top")
+    shares = [share("domain", "").alias("domain_blocked"), share("top", "domain_").alias("top_blocked")]
+    return stage(both.select("host", F.log1p("domain_urls").alias("domain_urls"), F.log1p("top_urls").alias("top_urls"), *shares), "suffixes")
 
 
-def judge_urls(pages: DataFrame, rules: dict[str, str], sample_rows: int = 200_000, seed: int = 19, trees: int = 12, depth: int = 4) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: dict[str, str], sample_rows: int = 200_000, seed: int = 19, trees: int = 12, depth: int = 4,
+    features: tuple[str, ...] = (*LEXICAL, *SUFFIX), left_out: Column | None = None,
+) -> DataFrame:
     """One row per page: ``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``score``.
 
     ``verdict`` is the rule's, else ``block`` where the trees' ``score`` is 0.5
     or more. Without labelled urls the score is 0, with labels of one kind it is
     that kind's. A null url, or one without ``://``, has an empty host and path,
     which fits no rule, and is judged by its features. Equal urls are judged
-    alike; other columns are not read.
+    alike; other columns are not read. ``left_out`` (over ``host``) names urls whose
+    labels are not learned from, to measure the trees on them.
     """
     url = F.col("url")
     parsed = pages.select("page_id", "url").select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"))
@@ -125,13 +135,15 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], sample_rows: int = 200_0
     ruled = parsed.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("domain", _domain())
     by_rule = F.try_element_at(verdict_of, F.col("rule"))
     ruled = ruled.withColumn("by_rule", F.when(F.col("rule").isNotNull(), by_rule)).withColumn("label", F.when(F.col("by_rule").isNotNull(), (F.col("by_rule") == "block").cast("double")))
+    if left_out is not None:
+        ruled = ruled.withColumn("label", F.when(~left_out, F.col("label")))
     ruled = stage(ruled, "ruled-urls")
-    joined = with_features(ruled.join(suffix_statistics(ruled), "domain"))
+    joined = with_features(ruled.join(suffix_statistics(ruled), "host"))
     kinds = {r.label: r["count"] for r in ruled.where("label is not null").groupBy("label").count().collect()}
     if len(kinds) < 2:
         scored = joined.withColumn("score", F.lit(float(next(iter(kinds), 0.0))))
     else:
-        names = [*LEXICAL, *SUFFIX]
+        names = list(features)
         fraction = min(1.0, sample_rows / sum(kinds.values()))
         sample = stage(joined.where(F.col("label").isNotNull() & sampled("page_id", fraction, seed)).select("label", *names), "url-sample")
         together = VectorAssembler(inputCols=names, outputCol="features")
