@@ -1,4 +1,11 @@
-"""A training-data pipeline: five stages over the documents, each written and read again."""
+"""A training-data pipeline: five stages over the documents, each written and read again.
+
+Every stage takes null and repeated ids, null, empty and long texts, repeated rows and
+empty tables. The classifiers judge a text, so equal texts go or stay together; rows
+without text or letters go at the language stage. Groups of near-duplicates and
+contaminated documents are found by row, so an id with several texts loses only
+those that have to go, and of repeated rows one stays.
+"""
 
 from __future__ import annotations
 
@@ -25,17 +32,30 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return told.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_CERTAIN)).select(*COLUMNS)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows of a stage's input under numbers of their own: ids may repeat or be null. Staged, so that a number stays with its row."""
+    return stage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "numbered")
+
+
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, that with the smallest id."""
-    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps one row of each group of near-duplicates: that with the smallest id, then the first one; a null id only where no other is."""
+    rows = numbered(docs)
+    found = minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
+    found = stage(found, "near-duplicates")
+    groups = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("component_id")
+    members = rows.select("row", "doc_id").join(found.join(groups, "component_id"), "row")
+    members = stage(members.select("row", "component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place")), "group-members")
+    first = members.groupBy("component_id").agg(F.min("place").alias("first"))
+    gone = members.join(first, "component_id").where("row <> first.row").select("row")
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that share no passage with a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = winnow.shared_passages(docs, items).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = numbered(docs)
+    gone = winnow.shared_passages(rows.select(F.col("row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("row")).distinct()
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
