@@ -34,9 +34,10 @@ def fold(column: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(0))
 
 
-def sampled(column: str, fraction: Column | float, seed: int) -> Column:
-    """True for about ``fraction`` of the ids, the same ones in each run."""
-    drawn = F.pmod(F.xxhash64(F.col(column).cast("string"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+def sampled(columns: str | list[str], fraction: Column | float, seed: int) -> Column:
+    """True for about ``fraction`` of the different values, the same ones in each run."""
+    names = [columns] if isinstance(columns, str) else columns
+    drawn = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in names], F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     return drawn < fraction
 
 

@@ -137,7 +137,8 @@ def fit_language(docs: DataFrame, per_language: int = 800, seed: int = 11) -> La
     """Fit on the rows of ``docs`` (id, ``text``, ``lang``) with a language and a letter.
 
     ``per_language`` bounds the expected rows of a language in the sample for
-    the weights; the document frequencies are those of all rows.
+    the weights, drawn by id and text, so that texts that share an id, or have none, are
+    drawn one by one; the document frequencies are those of all rows.
     """
     rows = small_batches(docs).select("doc_id", "text", "lang").where("lang is not null and text is not null and text <> ''")
 
@@ -155,7 +156,7 @@ def fit_language(docs: DataFrame, per_language: int = 800, seed: int = 11) -> La
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
     per = stage(rows.groupBy("lang").count().select("lang", F.least(F.lit(1.0), per_language / F.col("count")).alias("fraction")), "languages")
-    drawn = rows.join(per, "lang").where(sampled("doc_id", F.col("fraction"), seed)).select("doc_id", "text", "lang")
+    drawn = rows.join(per, "lang").where(sampled(["doc_id", "text"], F.col("fraction"), seed)).select("doc_id", "text", "lang")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

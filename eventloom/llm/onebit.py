@@ -6,7 +6,9 @@ scaled to length one (Gao and Long, "RaBitQ"). With <x, u> stored beside the
 code, <x, q> / <x, u> is an unbiased estimate of <u, q> for a unit query q, and
 its error is below epsilon * sqrt((1 - <x, u>^2) / (<x, u>^2 (bits - 1))) with a
 probability that falls exponentially in epsilon^2. Vectors are padded to
-``bits`` coordinates before the rotation; more bits give tighter bounds.
+``bits`` coordinates before the rotation; more bits give tighter bounds. A query's
+coordinates are rounded to four bits, so that its inner product with a code is a sum of
+popcounts of the code and four bit planes, word by word; the codes are never unpacked.
 
 The index has one row for each vector. Queries pass over it in blocks of a fixed
 number; each task estimates distances from its codes alone, bounds them from
@@ -35,6 +37,10 @@ QUERIES_PER_PASS = 8192
 QUERIES_AT_ONCE = 128
 #: Vectors that are compared at once.
 VECTORS_AT_ONCE = 8192
+#: Codes whose popcounts are summed at once, so that the sums stay in the cache.
+CODES_AT_ONCE = 1024
+#: Bits of a coordinate of a query.
+QUERY_BITS = 4
 EPSILON = 2.4
 
 
@@ -71,13 +77,38 @@ class Coder:
         lengths, turned = self.turned(vectors)
         return np.packbits(turned > 0, axis=1), lengths, np.abs(turned).sum(1) / math.sqrt(self.bits)
 
+    def quantize(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rotated directions in :data:`QUERY_BITS` bits: bit planes as words (query, plane, word), least value, step and sum of levels."""
+        least = queries.min(axis=1)
+        step = np.maximum((queries.max(axis=1) - least) / ((1 << QUERY_BITS) - 1), 1e-12)
+        levels = np.rint((queries - least[:, None]) / step[:, None]).astype(np.uint8)
+        planes = [np.packbits(levels >> p & 1, axis=1).view(np.uint64) for p in range(QUERY_BITS)]
+        return np.stack(planes, axis=1), least, step, levels.sum(axis=1, dtype=np.int64)
+
+    def inner(self, packed: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products of codes and quantized queries (query, vector) from AND and popcounts, and the spread of the rounding."""
+        planes, least, step, total = self.quantize(queries)
+        words = np.ascontiguousarray(packed).view(np.uint64)
+        shared = np.empty((len(queries), len(words)), np.uint16)
+        for at in range(0, len(words), CODES_AT_ONCE):
+            some = words[at : at + CODES_AT_ONCE]
+            sums = np.zeros((len(queries), len(some)), np.uint16)
+            for p in range(QUERY_BITS):
+                for w in range(words.shape[1]):
+                    sums += np.bitwise_count(planes[:, p, w, None] & some[None, :, w]).astype(np.uint16) << np.uint16(p)
+            shared[:, at : at + CODES_AT_ONCE] = sums
+        ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64).astype(np.float32)
+        value = (2 * step[:, None]).astype(np.float32) * shared + (2 * least[:, None]).astype(np.float32) * ones
+        value -= (self.bits * least + step * total).astype(np.float32)[:, None]
+        return value / np.float32(math.sqrt(self.bits)), step / math.sqrt(12)
+
     def bounds(self, packed: np.ndarray, lengths: np.ndarray, fit: np.ndarray, query_lengths: np.ndarray, queries: np.ndarray, epsilon: float) -> np.ndarray:
         """Lower bounds of the squared distances, one row for each query."""
-        signs = np.unpackbits(packed, axis=1, count=self.bits).astype(np.float32)
-        signs = (2 * signs - 1) / math.sqrt(self.bits)
+        inner, rounding = self.inner(packed, queries)
         safe = np.maximum(fit, 1e-6)
-        error = epsilon * np.sqrt(np.maximum(1 - safe * safe, 0) / (safe * safe * max(1, self.bits - 1)))
-        inner = np.minimum(queries.astype(np.float32) @ signs.T / safe + error, 1.0)
+        # of the code, and of the rounded query
+        variance = np.maximum(1 - safe * safe, 0) / max(1, self.bits - 1) + rounding[:, None] ** 2
+        inner = np.minimum((inner + epsilon * np.sqrt(variance)) / safe, 1.0)
         return query_lengths[:, None] ** 2 + lengths**2 - 2 * query_lengths[:, None] * lengths * inner
 
 

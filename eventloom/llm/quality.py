@@ -5,7 +5,8 @@ A document is described by statistics of its whole text. Random Fourier features
 a Gaussian kernel. The ridge weights solve the normal equations, whose matrix
 and right side are sums over rows: each partition sums its rows, the sums are
 added on executors, and the driver solves one system of fixed size. Isotonic
-regression over a histogram of the scores makes probabilities of them.
+regression over a histogram of scores makes probabilities of them; it is fitted on a fifth
+of the rows, chosen by their statistics, that the ridge weights are not fitted on.
 
 All labelled rows of the training fold take part; there is no sample.
 """
@@ -141,6 +142,13 @@ def fit_quality(labelled: DataFrame, n_features: int = 192, bandwidth: float = 4
     hand over a staged one.
     """
     rows = labelled.select("statistics", F.col(label_col).cast("double").alias("y")).where("y is not null")
+    # equal texts are on one side
+    aside = F.pmod(F.xxhash64("statistics"), F.lit(5)) == 0
+    calibrating = rows.where(aside)
+    if calibrating.select("y").distinct().limit(2).count() == 2 and rows.where(~aside).select("y").distinct().limit(2).count() == 2:
+        rows = rows.where(~aside)
+    else:
+        calibrating = rows
     d = N_STATISTICS
 
     def moments(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
@@ -184,7 +192,7 @@ def fit_quality(labelled: DataFrame, n_features: int = 192, bandwidth: float = 4
             counts += [np.bincount(at, y, BINS), np.bincount(at, minlength=BINS)]
         return counts.ravel()
 
-    positives, totals = sum_over_partitions(rows, histogram).reshape(2, BINS)
+    positives, totals = sum_over_partitions(calibrating, histogram).reshape(2, BINS)
     seen = totals > 0
     knots = ((edges[:-1] + edges[1:]) / 2)[seen]
     return QualityModel(mean, scale, frequencies, phases, weights, knots, isotonic(knots, positives[seen], totals[seen]))

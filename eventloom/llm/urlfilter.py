@@ -145,7 +145,7 @@ def judge_urls(
     else:
         names = list(features)
         fraction = min(1.0, sample_rows / sum(kinds.values()))
-        sample = stage(joined.where(F.col("label").isNotNull() & sampled("page_id", fraction, seed)).select("label", *names), "url-sample")
+        sample = stage(joined.where(F.col("label").isNotNull() & sampled(["page_id", "url"], fraction, seed)).select("label", *names), "url-sample")
         together = VectorAssembler(inputCols=names, outputCol="features")
         trained = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3, maxBins=32, seed=seed).fit(together.transform(sample))
         scored = trained.transform(together.transform(joined)).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
