@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.operators.abstraction import KINDS
 from eventloom.plans.pipeline import STAGES, run_all
+from eventloom.plans.versions import Versions
 from eventloom.presets import PRESETS
 from eventloom.session import build_session
 from eventloom.sources.delimited import number_rows, read_all_text
@@ -35,6 +36,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--log", help="raw log; not needed when preprocess is skipped")
     parser.add_argument("--out", required=True, help="folder of the result tables")
     parser.add_argument("--skip", nargs="*", default=[], choices=STAGES, help="stages whose tables are reused")
+    parser.add_argument("--resume", action="store_true", help="reuse the stages that are still valid")
     parser.add_argument("--abstraction", default="partial_k_means", choices=KINDS)
     parser.add_argument("--bucket", help="state attribute of the bucket abstraction")
     parser.add_argument("--attributes", nargs="*", default=None, help="state attributes; the configured ones by default")
@@ -57,7 +59,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = arguments(argv)
     spec = PRESETS[args.preset]
     spark = spark or build_session()
-    raw = read_any(spark, args.log, spec) if args.log and "preprocess" not in args.skip else None
+    raw = source = None
+    if args.log and "preprocess" not in args.skip:
+        raw = read_any(spark, args.log, spec)
+        # the log may have been staged: what counts are its own files
+        source = Versions(spark, args.out).input_digest(spark.read.format("binaryFile").load(args.log))
     run_all(
         spark,
         spec,
@@ -77,6 +83,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         args.exclude,
         {n: "hashed" for n in args.hashed},
         clear=True,
+        resume=args.resume,
+        source=source,
         attributes_to_encode=args.encode,
         max_numeric_values=args.max_numeric_values,
         include_attributes=not args.no_attributes,

@@ -479,6 +479,12 @@ vectors AS (SELECT s.state, list((SELECT count(*) FROM entries e WHERE e.state =
             ORDER BY a.action_index) AS counts FROM states s, actions a GROUP BY s.state)""",
         mapped("counts", "vectors"),
     ),
+    "many_valued_columns": over_log(
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS attribute, count(DISTINCT {e}) > 100 AS many FROM log"
+            for n, e in {"value": "value", "k": "k", "slot": SLOT, "minute": "minute(ts)", "activity": "activity", "resource": "resource"}.items()
+        )
+    ),
     "kmeans_states": over_log(
         "SELECT state, abstract_state, last_action, visits FROM mapping JOIN states USING (state)",
         *model_ctes({"level": "1000.0 * (k % 3) + k % 2"}),

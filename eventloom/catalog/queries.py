@@ -24,7 +24,7 @@ from eventloom.functions import missing as m
 from eventloom.functions.bins import fixed_bins
 from eventloom.functions.names import category_label, sanitize_name
 from eventloom.functions.time import infer_formats
-from eventloom.operators import clean, encode, mdp, policy, temporal, transform
+from eventloom.operators import clean, distinct, encode, mdp, policy, temporal, transform
 from eventloom.plans.discovery import discover
 from eventloom.plans.preprocess import preprocess
 from eventloom.plans.report import CleaningReport
@@ -342,6 +342,17 @@ def quantile_edges(spark, sf_dir):
     return found.select("attribute", "distinct_values", *[c.alias(n) for n, c in picked.items()])
 
 
+@query
+def many_valued_columns(spark, sf_dir):
+    """Which columns have more than 100 values, by sketches of two parts of the log."""
+    slot = F.concat_ws("-", F.col("k").cast("string"), F.hour("ts").cast("string"))
+    log = load_log(spark, sf_dir).withColumn("slot", slot).withColumn("minute", F.minute("ts"))
+    names = ["value", "k", "slot", "minute", "activity", "resource"]
+    parts = [distinct.distinct_sketches(log.where(F.col("seq") % 2 == i), names) for i in (0, 1)]
+    many = distinct.many_valued(log, names, 100, distinct.merge_sketches(*parts))
+    return spark.createDataFrame(sorted(many.items()), "attribute string, many boolean")
+
+
 @query
 def kmeans_states(spark, sf_dir):
     # three groups of near numbers, far from each other: any good partition is this one

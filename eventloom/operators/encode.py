@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from eventloom.functions.missing import to_boolean
 from eventloom.functions.names import category_label, sanitize_name
+from eventloom.operators.distinct import many_valued
 from eventloom.operators.scan import GroupMax, Previous, RowNumber, RunningSum, Splits, ordered_scan, unsplit
 from eventloom.spec import col
 from eventloom.staging import stage
@@ -83,11 +84,13 @@ def classify_columns(
     skip: Iterable[str] = ("last_action_name", "initial"),
     max_numeric_values: int = 20,
     attributes: Sequence[str] | None = None,
+    sketches: DataFrame | None = None,
 ) -> DataFrame:
     """(position, attribute, kind, pvar): ``tri`` for true/false/missing, else ``cat``.
 
     ``attributes`` names the columns to encode, all by default. A numeric column with more than ``max_numeric_values`` distinct values is
-    an error: it must be discretized first.
+    an error: it must be discretized first. ``sketches`` of the columns
+    (:func:`eventloom.operators.distinct.distinct_sketches`) save a pass over the table.
     """
     skip = {id_col, *skip}
     unknown = set(attributes or ()) - set(states.columns)
@@ -101,16 +104,10 @@ def classify_columns(
         checks += [F.count(col(n)).alias(f"c{i}"), F.min(col(n).cast("string").isin(*TRI_VALUES)).alias(f"t{i}")]
     row = states.agg(*checks).first()
     tri = {n for i, n in enumerate(strings) if row[f"c{i}"] > 0 and row[f"t{i}"]}
-    if numbers:
-        pairs = F.array(*[F.struct(F.lit(n).alias("attribute"), col(n).cast("double").alias("v")) for n in numbers])
-        distinct = states.select(F.inline(pairs)).where("v IS NOT NULL AND NOT isnan(v)").distinct()
-        many = distinct.groupBy("attribute").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_numeric_values)
-        # at most one row per column
-        for r in many.collect():
-            raise ValueError(
-                f"column {r['attribute']!r} is numeric with {r['n']} distinct values "
-                f"(more than {max_numeric_values}): discretize it first"
-            )
+    many = many_valued(states, numbers, max_numeric_values, sketches)
+    for name in numbers:
+        if many[name]:
+            raise ValueError(f"column {name!r} is numeric with more than {max_numeric_values} distinct values: discretize it first")
     kinds = [
         (i, f.name, "tri" if isinstance(f.dataType, T.BooleanType) or f.name in tri else "cat")
         for i, f in enumerate(fields)
