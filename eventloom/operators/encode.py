@@ -171,7 +171,7 @@ def fluent_names(states: DataFrame, transitions: DataFrame, attributes: DataFram
     actions = ordered_scan(action_names(transitions), (), ["action"], {"at": RowNumber()})
     reserved = (
         section(states.sparkSession.range(1), 0, F.lit("DUMMY"))
-        .unionByName(section(states, 1, F.concat(F.lit("s"), col(id_col).cast("long").cast("string")), col(id_col)))
+        # the name of a state, s and its number, has no dash and is unlike that of any value
         .unionByName(section(actions, 2, F.col("fluent"), F.col("at")))
         .unionByName(section(attributes.where(F.col("kind") != "cat"), 3, F.col("pvar"), F.col("position")))
     )

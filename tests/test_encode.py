@@ -164,7 +164,7 @@ def test_encode_tables(spark):
     tables = encode.encode(states(spark), transitions(spark, MOVES))
     assert set(tables) == {
         "actions", "clauses", "modal_outcomes", "terminal_states", "rewards", "initial_state", "fluent_names", "fluents",
-        "fluent_support", "initial_fluents",
+        "fluent_support", "fluent_bitmaps", "initial_fluents",
     }
     assert tables["initial_state"].first()["state"] == 0
     control_flow_only = encode.encode(states(spark), transitions(spark, MOVES), include_attributes=False)
