@@ -3,8 +3,8 @@
 Every stage takes null and repeated ids, null, empty and long texts, repeated rows and
 empty tables. The classifiers judge a text, so equal texts go or stay together; rows
 without text or letters go at the language stage. Groups of near-duplicates and
-contaminated documents are found by row, so an id with several texts loses only
-those that have to go, and of repeated rows one stays.
+contaminated documents are found by id and text together, so an id with several texts
+loses only those that have to go, and of repeated rows with words one stays.
 """
 
 from __future__ import annotations
@@ -32,28 +32,31 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return told.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_CERTAIN)).select(*COLUMNS)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The rows of a stage's input under numbers of their own: ids may repeat or be null. Staged, so that a number stays with its row."""
-    return stage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "numbered")
+def told_apart(docs: DataFrame) -> DataFrame:
+    """The documents with ``row``, a hash of id and text: ids may repeat or be null, and rows that are alike in both share it."""
+    return docs.select(*COLUMNS, F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.coalesce("text", F.lit("")), F.col("text").isNull()).alias("row"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near-duplicates: that with the smallest id, then the first one; a null id only where no other is."""
-    rows = numbered(docs)
-    found = minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
+    """Keeps one row of each group of near-duplicates: that with the smallest id; a null id only where no other is."""
+    rows = told_apart(docs)
+    found = minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id", "n_shingles")
     found = stage(found, "near-duplicates")
-    groups = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("component_id")
-    members = rows.select("row", "doc_id").join(found.join(groups, "component_id"), "row")
-    members = stage(members.select("row", "component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place")), "group-members")
-    first = members.groupBy("component_id").agg(F.min("place").alias("first"))
-    gone = members.join(first, "component_id").where("row <> first.row").select("row")
-    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
+    # a text without words is linked with nothing
+    groups = found.where("n_shingles > 0").groupBy("component_id").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("component_id")
+    groups = stage(groups, "groups")
+    grouped = stage(found.join(groups, "component_id").select("row", "component_id").distinct(), "grouped")
+    members = stage(rows.select("row", "doc_id").join(grouped, "row").distinct(), "group-members")
+    first = stage(members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")).select("first.row"), "group-firsts")
+    others = rows.join(grouped.select("row"), "row", "left_anti").select(*COLUMNS)
+    # repeated rows of the same id and text are one document
+    return others.unionByName(rows.join(first, "row", "left_semi").dropDuplicates(["row"]).select(*COLUMNS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that share no passage with a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = numbered(docs)
+    rows = told_apart(docs)
     gone = winnow.shared_passages(rows.select(F.col("row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("row")).distinct()
     return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
