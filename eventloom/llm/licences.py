@@ -264,7 +264,8 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST, w
     Ids are unique; repeated rows give repeated results.
     """
     own = own_licences(files, templates, least, wordings)
-    places = files.select("file_id", "path", folder_of(F.col("path")).alias("folder"), F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
+    # written once: a path may be a long expression over the text, and places are read three times
+    places = stage(files.select("file_id", "path"), "file-paths").select("file_id", "path", folder_of(F.col("path")).alias("folder"), F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
     stated = places.where(F.col("name").rlike(LICENCE_FILE)).join(own, "file_id")
     stated = stated.groupBy("folder").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license")).alias("best"))
     stated = stage(stated.select(F.col("folder").alias("above"), F.col("best.license").alias("from_folder")), "licensed-folders")
