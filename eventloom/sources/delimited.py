@@ -18,12 +18,13 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, s
     """Read with a header; all usual spellings of a missing value become null.
 
     Columns are matched to ``schema`` by name; a cell that does not parse as
-    its type is null.
+    its type is null, and so is every cell of a column that the file lacks.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False)
 
-    return raw.select(*[_cast(null_if_in(col(f.name), NULL_TEXTS), f.dataType).alias(f.name) for f in wanted if f.name in raw.columns])
+    found = {f.name: _cast(null_if_in(col(f.name), NULL_TEXTS), f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType) for f in wanted}
+    return raw.select(*[cell.alias(n) for n, cell in found.items()])
 
 
 def _cast(text: Column, kind: T.DataType) -> Column:

@@ -96,8 +96,10 @@ def test_missing_spellings(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     with open(path, "w") as f:
         f.write("state;x;n\n0;NA;1.5\n1;NaN;null\n2;missing;oops\n3;;\n")
-    rows = delimited.read_delimited(spark, path, "state long, x string, n double, absent int").orderBy("state").collect()
-    assert [tuple(r) for r in rows] == [(0, None, 1.5), (1, None, None), (2, "missing", None), (3, None, None)]
+    table = delimited.read_delimited(spark, path, "state long, x string, n double, absent int")
+    assert table.dtypes == [("state", "bigint"), ("x", "string"), ("n", "double"), ("absent", "int")]
+    rows = table.orderBy("state").collect()
+    assert [tuple(r) for r in rows] == [(0, None, 1.5, None), (1, None, None, None), (2, "missing", None, None), (3, None, None, None)]
     everything = delimited.read_all_text(spark, path)
     assert everything.where("x IS NULL").count() == 3
     numbered = delimited.number_rows(everything)
