@@ -225,6 +225,18 @@ def test_pooling_equals_document_by_document():
         assert np.allclose(row, np.maximum(want, 0), atol=1e-5)
 
 
+def test_toxicity_sample_is_bounded_by_words(spark):
+    # one document in ten has nine tenths of the words
+    rows = [(str(i), i % 2, np.full(900 if i % 10 == 0 else 11, i, "<u4").tobytes(), "en") for i in range(1000)]
+    sample = spark.createDataFrame(rows, "doc_id string, label int, words binary, language string")
+    total = sum(len(r[2]) for r in rows) // 4
+    assert toxicity.thinned(sample, total, 1).count() == 1000
+    kept = toxicity.thinned(sample, total // 4, 1).collect()
+    assert all(bytes(r.words) == rows[int(r.doc_id)][2] for r in kept)
+    assert 0.5 * total // 4 < sum(len(r.words) // 4 for r in kept) < 1.5 * total // 4
+    assert toxicity.thinned(sample.limit(0), 10, 1).count() == 0
+
+
 def test_threshold_has_least_error():
     s, y = np.array([-2.0, -1, 0, 1, 2]), np.array([0, 0, 1, 0, 1])
     cut = toxicity.threshold(s, y, np.ones(5))
