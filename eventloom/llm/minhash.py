@@ -158,10 +158,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     Other columns are not read.
     """
     documents = described(docs)
-    classes = stage(documents.where("doc_id is not null and key is not null").groupBy("key").agg(F.min("doc_id").alias("rep")), "classes")
-    # one document of each class goes through the bands
-    alone = documents.select("doc_id", "key", "bands", "n_shingles").join(classes.select("key", F.col("rep").alias("doc_id")), ["key", "doc_id"], "left_semi")
-    banded = alone.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band")).distinct()
+    # one row of each class goes through the bands; equal sets have equal bands
+    least = documents.where("doc_id is not null and key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = stage(least, "classes")
+    banded = classes.select(F.col("rep").alias("id"), "n", F.explode("bands").alias("band"))
     shared = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared-bands")
     members = stage(banded.join(shared, "band"), "bucket-members")
     met = stage(members.groupBy("id").agg(F.sum("size").alias("met")), "members-met")
@@ -173,7 +173,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     more = _pairs_across(pairs, links, docs, percent)
     component = components(links.unionByName(_true_links(more, docs, percent)))
 
-    ids = classes.join(component, classes["rep"] == component["id"], "left").select("key", F.coalesce("component", "rep").alias("component"))
+    ids = classes.select("key", "rep").join(component, F.col("rep") == F.col("id"), "left").select("key", F.coalesce("component", "rep").alias("component"))
     labels = stage(ids, "class-components")
     result = documents.select("doc_id", "n_shingles", "key").join(labels, "key", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
