@@ -10,6 +10,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.staging import stage
+
+#: Bits that are broadcast to tell rows apart, 16 MB at most.
+MOST_BITS = 1 << 27
+
 #: Partial sums are merged in so many groups, so that the driver gets this many rows at most.
 MERGE_GROUPS = 16
 
@@ -41,6 +46,25 @@ def sampled(columns: str | list[str], fraction: Column | float, seed: int) -> Co
     return drawn < fraction
 
 
+def maybe_in(rows: DataFrame, wanted: DataFrame, column: str, most_bits: int = MOST_BITS) -> DataFrame:
+    """``rows`` with ``maybe``: true for each whose ``column`` has a value that ``wanted`` has, and for few others.
+
+    A value sets one bit, in at least 16 times as many bits as ``wanted`` has rows, up to
+    ``most_bits``; more rows make more others true. The bits are all that is broadcast, so texts stay where they are.
+    """
+    n = wanted.count()
+    bits = 1 << 15
+    while bits < min(16 * n, most_bits):
+        bits *= 2
+    # bitmaps are numbered and filled from 1
+    place = F.pmod(F.xxhash64(column), F.lit(bits)) + 1
+    maps = stage(wanted.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")), "bitmaps")
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("map", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "map", "left")
+    return found.withColumn("maybe", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("map", "bits")
+
+
 def texts(column: pa.Array) -> list[str]:
     """The column's texts; a null is an empty text."""
     return [t or "" for t in column.to_pylist()]

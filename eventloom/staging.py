@@ -51,15 +51,16 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_buckets(df: DataFrame, name: str, buckets: int, by: str) -> DataFrame:
+def stage_buckets(df: DataFrame, name: str, buckets: int, by: str, dealt: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder in ``buckets`` by the hash of ``by`` and read it back.
 
-    A join or an aggregation by ``by`` then needs no exchange of this side. The
+    A join or an aggregation by ``by`` then needs no exchange of this side. If the rows are
+    ``dealt`` out by that column already, they are written as they lie. The
     table is known to the session's catalog under a name of its own.
     """
     spark = df.sparkSession
     table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by).format("parquet")
+    writer = (df if dealt else df.repartition(buckets, by)).write.bucketBy(buckets, by).sortBy(by).format("parquet")
     writer.option("path", f"{staged_dir(spark)}/{table}").saveAsTable(table)
     return spark.table(table)
 

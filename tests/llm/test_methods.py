@@ -9,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from eventloom.llm import langid, minhash, onebit, packing, quality, toxicity, winnow
+import corpus_pipeline
+from eventloom.llm import common, langid, minhash, onebit, packing, quality, toxicity, winnow
 from eventloom.llm.components import components
 
 JSON = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -237,6 +238,51 @@ def test_toxicity_sample_is_bounded_by_words(spark):
     assert toxicity.thinned(sample.limit(0), 10, 1).count() == 0
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    # two trainers; each class has more rows than a sample of 5000 would keep
+    monkeypatch.setattr(toxicity, "FEW_BYTES", 200_000)
+    docs = spark.range(12_400).selectExpr("id as doc_id", "concat('word', id % 37, if(id % 2 = 0, ' good', ' bad'), ' no', id) as text")
+    labels = spark.range(12_400).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    model = toxicity.fit_toxicity(docs, labels, langid.LanguageModel([], np.zeros(langid.BUCKETS), np.zeros((langid.BUCKETS, 0)), 1.0))
+    assert sum(model.rows.values()) == 12_400
+    assert 0.2 < model.rows["left out"] / 12_400 < 0.3
+    assert list(model.score(["word1 good", "word2 bad"]) >= 0.5) == [False, True]
+
+
+def test_toxicity_trainers_average_their_changes(spark):
+    words = {0: [1, 2, 3], 1: [4, 5]}
+    rows = [(i % 2, str(i), i % 2, words[i % 2]) for i in range(40)]
+    schema = "trainer int, doc_id string, label int, words array<int>"
+    both = toxicity.train_by_trainers(spark.createDataFrame(rows, schema), epochs=2)
+    again = toxicity.train_by_trainers(spark.createDataFrame(rows[::-1], schema), epochs=2)
+    assert all((x == y).all() for x, y in zip(both.kernels + [both.first, both.second], again.kernels + [again.first, again.second], strict=True))
+    low, high = both.logits([np.array(words[i], np.uint32) for i in (0, 1)])
+    assert low < 0 < high
+
+
+def test_bits_tell_all_wanted_rows(spark):
+    rows = spark.range(5000)
+    for most_bits in (1 << 15, 1 << 27):
+        told = common.maybe_in(rows, rows.where("id % 50 = 7"), "id", most_bits).where("maybe")
+        assert told.where("id % 50 = 7").count() == 100
+        assert told.count() < 300
+    assert common.maybe_in(rows, rows.limit(0), "id").where("maybe").count() == 0
+
+
+def test_dedup_stage_does_not_exchange_the_texts_that_stay(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(3, text), (1, text), (1, text), (2, "another text of some six words"), (None, text), (4, ""), (4, "")], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "'en' as lang", "'web' as source", "length(text) as n_chars")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.dedup_stage(spark, docs, "")
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, text), (2, "another text of some six words"), (4, ""), (4, "")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_threshold_has_least_error():
     s, y = np.array([-2.0, -1, 0, 1, 2]), np.array([0, 0, 1, 0, 1])
     cut = toxicity.threshold(s, y, np.ones(5))
